@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfwise import fixtures, schemas
 from shelfwise.functions import columns
-from shelfwise.operators.topn import best_first, merge_lists, rank_lists, to_lists, to_ranked, top_n
+from shelfwise.operators.topn import merge_lists, rank_lists, to_lists, to_ranked, top_scores
 from shelfwise.plans import content, factors, itemcf, online, stats, tuning
 from shelfwise.session import fresh_path
 from shelfwise.sources import batches, streams, tables, text
@@ -138,11 +138,11 @@ def _user_means(spark, base):
 
 
 def _top_n_per_key(spark, base):
-    return _rounded(top_n(_user_means(spark, base), ["userId"], best_first(), 20))
+    return _rounded(top_scores(_user_means(spark, base), "userId", 20))
 
 
 def _merge_recs(spark, base):
-    old = top_n(_user_means(spark, base), ["userId"], best_first(), 20)
+    old = top_scores(_user_means(spark, base), "userId", 20)
     new = online.recent_ratings(fixtures.ratings(spark, base)).select(
         "userId", F.col("productId").alias("recProductId"), "score"
     )
@@ -190,7 +190,7 @@ def _content_sims(spark, base):
 
 
 def _ranked_sims(spark, base):
-    return rank_lists(_content_sims(spark, base))
+    return tables.materialize(rank_lists(_content_sims(spark, base)), "ranked")
 
 
 def _nested_recs(spark, base):
@@ -430,7 +430,7 @@ _PARTS = {
         HAVING sum(a.weight * b.weight) / (any_value(la.length) * any_value(lb.length)) > 0.4""",
     "ranked": """
         SELECT *, row_number() OVER (PARTITION BY "productId"
-            ORDER BY round(score, 9) DESC, "recProductId") AS rank FROM sims""",
+            ORDER BY floor(score * 1e9 + 0.5) DESC, "recProductId") AS rank FROM sims""",
     "recent": """
         SELECT *, CAST(row_number() OVER (PARTITION BY "userId"
             ORDER BY "timestamp" DESC, "productId", score DESC) AS INTEGER) AS rank
@@ -445,7 +445,7 @@ _PARTS = {
             WHERE r."userId" = e."userId" AND r."productId" = s."recProductId")""",
     "chosen": """
         SELECT *, CAST(row_number() OVER (PARTITION BY "userId"
-            ORDER BY round(score, 9) DESC, "recProductId") AS INTEGER) AS rank
+            ORDER BY floor(score * 1e9 + 0.5) DESC, "recProductId") AS INTEGER) AS rank
         FROM unrated QUALIFY rank <= 20""",
     "scored": """
         SELECT c."userId", c."recProductId", avg(s.score * r.score)
@@ -476,7 +476,7 @@ def _sql(parts: list[str], body: str) -> str:
 
 def _top(source: str, key: str, n: int) -> str:
     return f"""SELECT *, CAST(row_number() OVER (PARTITION BY "{key}"
-        ORDER BY round(score, 9) DESC, "recProductId") AS INTEGER) AS rank
+        ORDER BY floor(score * 1e9 + 0.5) DESC, "recProductId") AS INTEGER) AS rank
         FROM {source} QUALIFY rank <= {n}"""
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 # No more keys than this are ever treated as heavy, which bounds what is
@@ -13,29 +13,37 @@ MAX_HEAVY_KEYS = 4096
 HEAVY_ROWS = 1_000_000
 
 
-def heaviest(
-    counts: DataFrame, size: str, keys: Sequence[str], min_rows: int = HEAVY_ROWS,
-    limit: int = MAX_HEAVY_KEYS,
-) -> DataFrame:
-    """Keys of a count table above ``min_rows``, at most ``limit`` of them."""
-    return (
+def heavy_rows(
+    counts: DataFrame, size: str, keys: Sequence[str], min_rows: int = HEAVY_ROWS
+) -> list[Row]:
+    """The heaviest keys of a count table with their sizes, at most 4096, largest first.
+
+    This runs now: one aggregation that lets the plan stay plain when nothing is hot.
+    """
+    heaviest = (
         counts.filter(F.col(size) > min_rows)
         .orderBy(F.col(size).desc(), *keys)
-        .limit(limit)
+        .limit(MAX_HEAVY_KEYS)
+        .select(*keys, size)
     )
+    return heaviest.collect()
 
 
 def lookup_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], heavy: DataFrame
+    left: DataFrame, right: DataFrame, on: Sequence[str], heavy: list[Row]
 ) -> DataFrame:
     """Inner join to a side that has few rows per key, with hot keys on the left.
 
-    ``heavy`` holds key columns of at most ``MAX_HEAVY_KEYS`` keys. Rows of those
-    keys meet a broadcast slice of ``right`` where they are, so a key with a third
-    of all rows is never shuffled into one task. The other rows join as usual.
+    Rows of the ``heavy`` keys meet a broadcast slice of ``right`` where they are, so
+    a key with a third of all rows is never shuffled into one task. The slice holds
+    4096 keys at most. The other rows join as usual.
     """
     on = list(on)
-    keys = F.broadcast(heavy.select(*on))
+    if not heavy:
+        return left.join(right, on)
+    schema = right.select(*on).schema
+    keys = left.sparkSession.createDataFrame([[row[c] for c in on] for row in heavy], schema)
+    keys = F.broadcast(keys)
     hot_right = F.broadcast(right.join(keys, on, "left_semi"))
     hot = left.join(hot_right, on)
     cold = left.join(keys, on, "left_anti").join(right, on)

@@ -14,8 +14,9 @@ from shelfwise.session import fresh_path
 LIST_PART = 1000
 
 
-def best_first(score: str = "score", tie: str = "recProductId") -> list[Column]:
-    return [F.round(F.col(score), settings.SCORE_DIGITS).desc(), F.col(tie).asc()]
+def order_key(score: str = "score") -> Column:
+    """The score in units of the last compared digit, as a bigint."""
+    return F.floor(F.col(score) * 10**settings.SCORE_DIGITS + 0.5)
 
 
 def top_n(
@@ -24,43 +25,53 @@ def top_n(
     """The first ``n`` rows per key, numbered from 1.
 
     Spark cuts each map task's rows to ``n`` per key before the shuffle, so a hot
-    key sends at most ``n`` rows per task.
+    key sends at most ``n`` rows per task. ``order`` should hold plain columns:
+    expressions would be computed again for every comparison.
     """
     window = Window.partitionBy(*key).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
 
+def top_scores(df: DataFrame, key: str, n: int, tie: str = "recProductId") -> DataFrame:
+    """The ``n`` best scores per key; equal ones go by the smaller id."""
+    keyed = df.withColumn("order_key", order_key())
+    return top_n(keyed, [key], [F.col("order_key").desc(), F.col(tie).asc()], n).drop("order_key")
+
+
 def rank_lists(pairs: DataFrame, key: str = "productId", path: str | None = None) -> DataFrame:
     """Number every row of every list, best first, without one task per key.
 
     Rows are range-sorted by key, score and id, so a long list spans many
-    partitions. They are stored with their partition number; the rank is the
-    place inside the partition plus the key's rows in the partitions before it.
-    Storing first keeps partition numbers stable when an executor is lost.
+    partitions, and stored with their position. The rank is the position inside the
+    partition, counted from the key's first row there, plus the key's rows in the
+    partitions before it. Storing keeps positions stable when an executor is lost.
     """
     spark = pairs.sparkSession
-    order = [F.col(key), *best_first()]
-    path = path or fresh_path(spark, "ranked")
+    order = [F.col(key), F.col("order_key").desc(), F.col("recProductId")]
+    path = path or fresh_path(spark, "sorted-lists")
     (
-        pairs.repartitionByRange(*order)
+        pairs.withColumn("order_key", order_key())
+        .repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("part", F.spark_partition_id())
+        .drop("order_key")
+        .withColumn("position", F.monotonically_increasing_id())
         .write.mode("overwrite")
         .parquet(path)
     )
-    stored = spark.read.parquet(path)
+    # The upper bits of the position are the partition.
+    stored = spark.read.parquet(path).withColumn("part", F.shiftright("position", 33))
     before = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    starts = (
         stored.groupBy(key, "part")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(key, "part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("position").alias("first"))
+        .select(
+            key,
+            "part",
+            (F.coalesce(F.sum("rows").over(before), F.lit(0)) + 1 - F.col("first")).alias("shift"),
+        )
     )
-    inside = Window.partitionBy(key, "part").orderBy(*best_first())
-    return (
-        stored.withColumn("place", F.row_number().over(inside))
-        .join(offsets, [key, "part"])
-        .withColumn("rank", F.col("place") + F.col("offset"))
-        .drop("part", "place", "offset")
+    return stored.join(starts, [key, "part"]).select(
+        *pairs.columns, (F.col("position") + F.col("shift")).alias("rank")
     )
 
 
@@ -110,4 +121,4 @@ def merge_lists(
         .groupBy(key, "recProductId")
         .agg(F.max("score").alias("score"))
     )
-    return top_n(merged, [key], best_first(), n)
+    return top_scores(merged, key, n)

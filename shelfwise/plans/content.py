@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.feature import IDF, HashingTF, Tokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from shelfwise import settings
 from shelfwise.functions.columns import inverse_document_frequency, tags_text, tokens
 from shelfwise.operators.copies import digest, expand, group_copies, member_parts
 from shelfwise.operators.cosine import sparse_pairs, sparse_vectors
-from shelfwise.operators.skew import heaviest, lookup_join
+from shelfwise.operators.skew import heavy_rows, lookup_join
 from shelfwise.sources.tables import materialize
 
 
@@ -55,7 +57,7 @@ def weighted_terms(documents: DataFrame) -> DataFrame:
     """(id, copies, term, tf, weight, spread) over the exact vocabulary."""
     counts = term_counts(documents)
     statistics = term_statistics(counts, documents)
-    hot = heaviest(statistics, "spread", ["term"])
+    hot = heavy_rows(statistics, "spread", ["term"])
     return lookup_join(counts, statistics, ["term"], hot).select(
         "id", "copies", "term", "tf", (F.col("tf") * F.col("idf")).alias("weight"), "spread"
     )
@@ -82,7 +84,7 @@ def content_sims(
     """
     items = tag_documents(products).select("id", F.array_sort("words").alias("words"))
     items = items.withColumn("key", digest(F.col("words")))
-    groups = group_copies(items, "key", keep=["words"])
+    groups = materialize(group_copies(items, "key", keep=["words"]), "tag-groups")
     documents = groups.select(F.col("leader").alias("id"), "copies", "words")
     vectors = sparse_vectors(weighted_terms(documents), "id", "spread")
     return _expanded(items, groups, vectors, threshold)
@@ -92,9 +94,8 @@ def _expanded(
     items: DataFrame, groups: DataFrame, vectors: DataFrame, threshold: float
 ) -> DataFrame:
     pairs = materialize(sparse_pairs(vectors, threshold), "content-pairs")
-    # Only groups with a direction are similar to themselves.
-    alive = groups.join(vectors.select(F.col("id").alias("leader")), "leader", "left_semi")
-    return expand(pairs, alive, member_parts(items, "key", alive))
+    # Vectors in place of groups: one without a direction is not similar to itself.
+    return expand(pairs, vectors.select("id", "copies"), member_parts(items, "key", groups))
 
 
 def hashed_features(products: DataFrame, buckets: int = settings.HASH_BUCKETS) -> DataFrame:
@@ -105,13 +106,13 @@ def hashed_features(products: DataFrame, buckets: int = settings.HASH_BUCKETS) -
     return model.transform(counts).select("productId", "words", "counts", "features")
 
 
-def vector_entries(features: DataFrame, vector: str, id: str = "productId") -> DataFrame:
-    """(id, bucket, value) of the stored entries of a sparse vector column."""
+def vector_entries(
+    features: DataFrame, vector: str, keep: Sequence[str] = ("productId",)
+) -> DataFrame:
+    """Kept columns, bucket and value of the stored entries of a sparse vector column."""
     parts = F.unwrap_udt(vector)
     entry = F.explode(F.arrays_zip(parts["indices"].alias("bucket"), parts["values"].alias("value")))
-    return features.select(F.col(id), entry.alias("entry")).select(
-        id, F.col("entry.bucket").alias("bucket"), F.col("entry.value").alias("value")
-    )
+    return features.select(*keep, entry.alias("entry")).select(*keep, "entry.bucket", "entry.value")
 
 
 def content_sims_hashed(
@@ -125,9 +126,8 @@ def content_sims_hashed(
         digest(F.array_sort("words")).alias("key"),
         "features",
     )
-    groups = group_copies(items, "key", keep=["features"])
-    entries = vector_entries(groups.select("leader", "features"), "features", "leader")
-    entries = entries.filter(F.col("value") != 0).join(groups.select("leader", "copies"), "leader")
+    groups = materialize(group_copies(items, "key", keep=["features"]), "feature-groups")
+    entries = vector_entries(groups, "features", ["leader", "copies"]).filter(F.col("value") != 0)
     spreads = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("spread"))
     # As many buckets as the vector is wide: the broadcast has a fixed bound.
     entries = entries.join(F.broadcast(spreads), "bucket").select(
