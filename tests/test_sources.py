@@ -1,0 +1,122 @@
+"""Text parsing, table sinks and scalar functions."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfwise import schemas
+from shelfwise.functions import columns
+from shelfwise.plans import stats
+from shelfwise.session import fresh_path
+from shelfwise.sources import tables, text
+
+
+def lines(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "value string")
+
+
+def test_product_line(spark):
+    row = lines(spark, " 17 ^ Red mug ^x^y^http://i/17.jpg^Home^red|mug").select(
+        *text.product_columns(F.col("value"))
+    ).first()
+    assert tuple(row) == (17, "Red mug", "http://i/17.jpg", "Home", "red|mug")
+
+
+def test_product_line_without_tags(spark):
+    rows = lines(spark, "1^a^^^^c^", "2^b^x^y").select(*text.product_columns(F.col("value"))).collect()
+    assert [(r["productId"], r["tags"]) for r in rows] == [(1, ""), (2, "")]
+
+
+def test_rating_line_ignores_further_fields(spark):
+    row = lines(spark, "4,17,5.0,1395676800,x").select(*text.rating_columns(F.col("value"))).first()
+    assert tuple(row) == (4, 17, 5.0, 1395676800)
+
+
+@pytest.mark.parametrize("line", [",17,5.0,1", "4,17,x,1", "4.5,17,5.0,1", "4,17,5.0"])
+def test_bad_rating_line_fails_the_job(spark, line):
+    with pytest.raises(Exception, match="not a valid"):
+        lines(spark, line).select(*text.rating_columns(F.col("value"))).collect()
+
+
+def test_bad_lines_can_be_split_off(spark):
+    parsed = text.rating_columns(F.col("value"), strict=False)
+    good, bad = text.split_bad(
+        lines(spark, "1,2,3.0,4", " ,2,3.0,4", "junk"), parsed, schemas.RATING.fieldNames()
+    )
+    assert [tuple(r) for r in good.collect()] == [(1, 2, 3.0, 4)]
+    assert {r["value"] for r in bad.collect()} == {" ,2,3.0,4", "junk"}
+
+
+def test_months_do_not_follow_the_session_zone(spark):
+    frame = spark.createDataFrame([(1640995199,), (1640995200,)], "ts int")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        found = frame.select(columns.year_month(F.col("ts")).alias("m")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [r["m"] for r in found] == [202112, 202201]
+    east = frame.select(columns.year_month(F.col("ts"), "Asia/Tokyo").alias("m")).first()
+    assert east["m"] == 202201
+
+
+def test_month_function_in_sql(spark):
+    columns.register_sql_functions(spark)
+    assert spark.sql("SELECT year_month(1640995199) AS m").first()["m"] == 202112
+
+
+def test_history_items(spark):
+    row = lines(spark, " 17 : 5.0 ").select(
+        columns.history_item(F.col("value")).alias("rec"), columns.history_key(F.lit(4)).alias("key")
+    ).first()
+    assert (tuple(row["rec"]), row["key"]) == ((17, 5.0), "userId:4")
+
+
+def test_trend_counts_none_as_one(spark):
+    row = spark.range(1).select(
+        columns.trend(F.lit(0), F.lit(0)).alias("none"), columns.trend(F.lit(100), F.lit(10)).alias("some")
+    ).first()
+    assert tuple(row) == (0.0, pytest.approx(1.0))
+
+
+def test_list_helpers(spark):
+    lists = spark.createDataFrame([(1, [(2, 0.5), (3, 0.4)])], schemas.PRODUCT_LIST)
+    row = lists.select(
+        columns.recommended_ids(F.col("recs")).alias("ids"), columns.recs_map(F.col("recs")).alias("map")
+    ).first()
+    assert (row["ids"], row["map"]) == ([2, 3], {2: 0.5, 3: 0.4})
+
+
+def test_tables_are_replaced_and_clustered(spark):
+    path = fresh_path(spark, "test-table")
+    ratings = spark.createDataFrame([(2, 1, 1.0, 0), (1, 1, 2.0, 0)], schemas.RATING)
+    tables.write(ratings, path, cluster_by=["userId"])
+    tables.write(ratings.filter("userId = 1"), path, cluster_by=["userId"])
+    assert [tuple(r) for r in tables.scan(spark, path, schemas.RATING).collect()] == [(1, 1, 2.0, 0)]
+
+
+def test_scan_pushes_filters_and_columns_down(spark):
+    path = fresh_path(spark, "test-scan")
+    tables.write(spark.createDataFrame([(2, 1, 1.0, 0)], schemas.RATING), path)
+    scan = tables.scan(spark, path, schemas.RATING).filter("productId = 1").select("score")
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(productId,1)" in plan
+    assert "ReadSchema: struct<productId:int,score:double>" in plan
+
+
+def test_strict_scan_refuses_nulls(spark):
+    path = fresh_path(spark, "test-nulls")
+    tables.write(spark.sql("SELECT CAST(NULL AS INT) userId, 1 productId, 1.0D score, 0 timestamp"), path)
+    with pytest.raises(Exception, match="userId must not be null"):
+        tables.scan(spark, path, schemas.RATING, strict=True).collect()
+
+
+def test_statistics_are_ordered(spark):
+    rows = [(1, 7, 5.0, 0), (2, 7, 4.0, 0), (1, 8, 5.0, 2678400), (2, 9, 1.0, 0)]
+    ratings = spark.createDataFrame(rows, schemas.RATING)
+    assert [tuple(r) for r in stats.popular_products(ratings).collect()] == [(7, 2), (8, 1), (9, 1)]
+    assert [tuple(r) for r in stats.popular_by_month(ratings).collect()] == [
+        (8, 1, 197002), (7, 2, 197001), (9, 1, 197001)
+    ]
+    assert [tuple(r) for r in stats.average_scores(ratings).collect()] == [(8, 5.0), (7, 4.5), (9, 1.0)]
