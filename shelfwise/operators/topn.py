@@ -39,7 +39,8 @@ def top_scores(df: DataFrame, key: str, n: int, tie: str = "recProductId") -> Da
 
 
 def rank_lists(pairs: DataFrame, key: str = "productId", path: str | None = None) -> DataFrame:
-    """Number every row of every list, best first, without one task per key.
+    """Number every row of every list, best first, without one task per key: adds
+    ``rank`` and the list's ``length``.
 
     Rows are range-sorted by key, score and id, so a long list spans many
     partitions, and stored with their position. The rank is the position inside the
@@ -60,7 +61,8 @@ def rank_lists(pairs: DataFrame, key: str = "productId", path: str | None = None
     )
     # The upper bits of the position are the partition.
     stored = spark.read.parquet(path).withColumn("part", F.shiftright("position", 33))
-    before = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = Window.partitionBy(key)
+    before = parts.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         stored.groupBy(key, "part")
         .agg(F.count(F.lit(1)).alias("rows"), F.min("position").alias("first"))
@@ -68,10 +70,11 @@ def rank_lists(pairs: DataFrame, key: str = "productId", path: str | None = None
             key,
             "part",
             (F.coalesce(F.sum("rows").over(before), F.lit(0)) + 1 - F.col("first")).alias("shift"),
+            F.sum("rows").over(parts).alias("length"),
         )
     )
     return stored.join(starts, [key, "part"]).select(
-        *pairs.columns, (F.col("position") + F.col("shift")).alias("rank")
+        *pairs.columns, (F.col("position") + F.col("shift")).alias("rank"), "length"
     )
 
 

@@ -28,7 +28,14 @@ def latest(rows: DataFrame, key: str) -> DataFrame:
     return top_n(rows, [key], [F.col("batch").desc()], 1).drop("rank", "batch")
 
 
-def compact(spark: SparkSession, path: str, schema: T.StructType, key: str, into: str) -> None:
-    """Fold all batches into one at a new path, as batch 0 of the table to go on with."""
-    folded = latest(read_batches(spark, path, schema), key)
+def compact(
+    spark: SparkSession, path: str, schema: T.StructType, key: str, into: str,
+    newest_only: bool = True,
+) -> None:
+    """Fold all batches into one at a new path, as batch 0 of the table to go on with.
+
+    ``newest_only`` keeps each key's newest row, as for lists; a history keeps all.
+    """
+    rows = read_batches(spark, path, schema)
+    folded = latest(rows, key) if newest_only else rows.drop("batch")
     write_batch(folded.repartitionByRange(key).sortWithinPartitions(key), into, 0)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -49,7 +50,7 @@ def update_lists(
         arrived = arrived.filter(F.col("batch") <= batch)
         known = history.unionByName(arrived.drop("batch"))
         mine = arrived.filter(F.col("batch") == batch).drop("batch")
-        lists = online.recommend(mine, known, ranked, **parameters)
+        lists = online.recommend(mine, known, ranked, event_count=mine.count(), **parameters)
         batches.write_batch(lists, lists_path, batch)
 
     return update
@@ -59,7 +60,12 @@ def start_lists(
     events: DataFrame, history: DataFrame, ranked: DataFrame, history_path: str,
     lists_path: str, checkpoint: str, available_now: bool = False, **parameters,
 ) -> StreamingQuery:
-    """Keep per-user lists current from a stream of ratings."""
+    """Keep per-user lists current from a stream of ratings.
+
+    The similarity table stays cached on the executors, each its own part, because
+    every micro-batch looks into it.
+    """
+    ranked = ranked.persist(StorageLevel.MEMORY_AND_DISK)
     writer = (
         events.writeStream.foreachBatch(
             update_lists(history, ranked, history_path, lists_path, **parameters)

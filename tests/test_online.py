@@ -77,8 +77,9 @@ def random_case(seed: int):
     return events, history, sims
 
 
+@pytest.mark.parametrize("event_count", [None, 80])
 @pytest.mark.parametrize("hot_rows", [1, 1_000_000])
-def test_batch_equals_one_event_after_another(spark, monkeypatch, hot_rows):
+def test_batch_equals_one_event_after_another(spark, monkeypatch, hot_rows, event_count):
     real = online.heavy_rows
     monkeypatch.setattr(online, "heavy_rows", lambda c, s, k: real(c, s, k, hot_rows))
     monkeypatch.setattr(online, "SLICE", 8)
@@ -87,6 +88,7 @@ def test_batch_equals_one_event_after_another(spark, monkeypatch, hot_rows):
         spark.createDataFrame(events, schemas.RATING),
         spark.createDataFrame(history, schemas.RATING),
         ranked_table(spark, sims),
+        event_count=event_count,
     )
     assert as_lists(found) == direct(events, history, sims)
 
@@ -182,6 +184,23 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark):
     assert as_lists(batches.latest(batches.read_batches(spark, compacted, schemas.USER_LIST), "userId")) == expected
 
 
+def test_small_batch_does_not_shuffle_the_large_tables(spark):
+    events, history, sims = random_case(8)
+    ranked = ranked_table(spark, sims)
+    path = fresh_path(spark, "test-history-table")
+    spark.createDataFrame(history, schemas.RATING).write.parquet(path)
+    plan = online.recommend(
+        spark.createDataFrame(events, schemas.RATING), spark.read.schema(schemas.RATING).parquet(path),
+        ranked, event_count=len(events),
+    )._jdf.queryExecution().sparkPlan().toString()
+    lines = plan.splitlines()
+    scans = [i for i, line in enumerate(lines) if "FileScan" in line]
+    assert len(scans) >= 4
+    for i in scans:
+        above = [line for line in lines[max(0, i - 4) : i] if "Join" in line]
+        assert above and "BroadcastHashJoin" in above[-1], "\n".join(lines[max(0, i - 4) : i + 1])
+
+
 def test_replayed_batch_changes_nothing(spark):
     events, history, sims = random_case(7)
     ranked = ranked_table(spark, sims)
