@@ -205,7 +205,8 @@ def _sim_matrix_pairs(spark, base):
 
 def _sim_matrix_map(spark, base):
     lists = to_lists(_ranked_sims(spark, base))
-    return lists.select("productId", "part", columns.recs_map(F.col("recs")).alias("sims"))
+    maps = lists.select("productId", columns.recs_map(F.col("recs")).alias("sims"))
+    return _rounded(maps.select("productId", F.explode("sims").alias("recProductId", "score")))
 
 
 # Factors
@@ -293,13 +294,12 @@ def _online_recs(spark, base):
 def _online_recs_stream(spark, base):
     """Log lines to messages to events to stored lists; all ratings arrive as a stream."""
     history_path, lists_path = fresh_path(spark, "history"), fresh_path(spark, "lists")
-    ratings = fixtures.ratings(spark, base)
     source = fresh_path(spark, "log")
     fixtures.log_lines(spark, base).write.text(source)
     messages = rating_stream.rating_messages(streams.read_lines(spark, path=source))
     rating_stream.start_lists(
         rating_stream.rating_events(messages),
-        ratings.limit(0),
+        spark.createDataFrame([], schemas.RATING),
         _ranked_sims(spark, base),
         history_path,
         lists_path,
@@ -592,6 +592,7 @@ def oracle_sql() -> dict[str, str]:
             'SELECT "productId", rank, "recProductId", round(score, 6) AS score FROM ranked',
         ),
         "sim_matrix_pairs": _sql(_CONTENT, sims),
+        "sim_matrix_map": _sql(_CONTENT, sims),
         "embedding_cosine_pairs": """
             WITH v AS (SELECT CAST(vec_id AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings)
             SELECT a.id AS "productId", b.id AS "recProductId",

@@ -50,6 +50,30 @@ def lookup_join(
     return hot.unionByName(cold)
 
 
+def salted_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], hot: str, heavy: list[Row],
+    salt_by: Sequence[str], rows_per_salt: int = HEAVY_ROWS,
+) -> DataFrame:
+    """Inner join where the right side may have many rows per key, too.
+
+    ``heavy`` are values of the key column ``hot`` with their row counts on the left.
+    Their left rows are dealt to salts by a hash of ``salt_by``, and their right rows
+    are repeated per salt.
+    """
+    on = list(on)
+    if not heavy:
+        return left.join(right, on)
+    salts = [(row[0], -(-row[1] // rows_per_salt)) for row in heavy]
+    kind = left.schema[hot].dataType.simpleString()
+    salts = F.broadcast(left.sparkSession.createDataFrame(salts, f"{hot} {kind}, salts bigint"))
+    count = F.coalesce("salts", F.lit(1).cast("bigint"))
+    dealt = left.join(salts, hot, "left").withColumn("salt", hashed_chunk(count, *salt_by))
+    repeated = right.join(salts, hot, "left").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1))
+    )
+    return dealt.drop("salts").join(repeated.drop("salts"), [*on, "salt"]).drop("salt")
+
+
 def triangle(df: DataFrame, chunk: Column, chunks: Column) -> DataFrame:
     """Give each row one copy per chunk it must meet: columns chunk, lo, hi.
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -62,10 +61,9 @@ def start_lists(
 ) -> StreamingQuery:
     """Keep per-user lists current from a stream of ratings.
 
-    The similarity table stays cached on the executors, each its own part, because
-    every micro-batch looks into it.
+    Every micro-batch looks into ``ranked`` and ``history``; persist them before, so
+    that each executor holds its part of them.
     """
-    ranked = ranked.persist(StorageLevel.MEMORY_AND_DISK)
     writer = (
         events.writeStream.foreachBatch(
             update_lists(history, ranked, history_path, lists_path, **parameters)

@@ -62,7 +62,7 @@ def random_tags(seed: int, n: int, copy_share: float) -> dict[int, str]:
 
 @pytest.mark.parametrize("chunk_rows", [3, 1024])
 def test_content_pairs_are_exact_with_a_third_of_copies(spark, monkeypatch, chunk_rows):
-    monkeypatch.setattr(copies, "PART_IDS", 64)
+    monkeypatch.setattr(copies, "PART_IDS", 8)
     real = content.sparse_pairs
     monkeypatch.setattr(content, "sparse_pairs", lambda v, t: real(v, t, chunk_rows))
     tags = random_tags(5, 120, 0.33)
@@ -151,6 +151,17 @@ def test_lookup_join_with_hot_keys_keeps_all_rows(spark):
     assert sorted(joined.collect()) == sorted(plain.select(joined.columns).collect())
 
 
+def test_salted_join_keeps_all_rows(spark):
+    left = spark.range(600).select((F.col("id") % 7).cast("int").alias("k"), F.lit(1).alias("s"), "id")
+    right = spark.range(30).select((F.col("id") % 5).cast("int").alias("k"), F.lit(1).alias("s"), F.col("id").alias("v"))
+    counts = left.groupBy("k").agg(F.count(F.lit(1)).alias("rows"))
+    heavy = skew.heavy_rows(counts, "rows", ["k"], min_rows=85)
+    assert heavy
+    joined = skew.salted_join(left, right, ["k", "s"], "k", heavy, ["id"], rows_per_salt=10)
+    plain = left.join(right, ["k", "s"])
+    assert sorted(joined.select(plain.columns).collect()) == sorted(plain.collect())
+
+
 def test_ranks_of_long_lists_cross_partitions(spark):
     random.seed(2)
     rows = [(1, rec, round(random.random(), 2)) for rec in range(700)]
