@@ -38,9 +38,14 @@ def rating_events(messages: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def update_lists(
-    history: DataFrame, ranked: DataFrame, history_path: str, lists_path: str, **parameters
+    history: DataFrame, ranked: DataFrame, history_path: str, lists_path: str,
+    report: Callable[[int, int], None] | None = None, **parameters,
 ) -> Callable[[DataFrame, int], None]:
-    """The action on each micro-batch: add it to the history, then write its users' lists."""
+    """The action on each micro-batch: add it to the history, then write its users' lists.
+
+    ``report`` gets the batch number and how many users were skipped, because their
+    newest event is on a product without a similarity list.
+    """
 
     def update(events: DataFrame, batch: int) -> None:
         spark = events.sparkSession
@@ -51,6 +56,8 @@ def update_lists(
         mine = arrived.filter(F.col("batch") == batch).drop("batch")
         lists = online.recommend(mine, known, ranked, event_count=mine.count(), **parameters)
         batches.write_batch(lists, lists_path, batch)
+        if report:
+            report(batch, online.skipped_events(online.newest_events(mine), ranked).count())
 
     return update
 

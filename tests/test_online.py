@@ -207,11 +207,15 @@ def test_replayed_batch_changes_nothing(spark):
     base = spark.createDataFrame(history, schemas.RATING)
     frame = spark.createDataFrame(events, schemas.RATING)
     history_path, lists_path = fresh_path(spark, "test-history"), fresh_path(spark, "test-lists")
-    update = rating_stream.update_lists(base, ranked, history_path, lists_path)
+    skipped = []
+    update = rating_stream.update_lists(
+        base, ranked, history_path, lists_path, report=lambda batch, n: skipped.append(n)
+    )
     results = []
     for _ in range(2):
         update(frame, 0)
         stored = batches.read_batches(spark, lists_path, schemas.USER_LIST)
         results.append(as_lists(batches.latest(stored, "userId")))
     assert results[0] == results[1] == direct(events, history + events, sims)
+    assert skipped == [len({e[0] for e in events}) - len(results[0])] * 2 and skipped[0] > 0
     assert batches.read_batches(spark, history_path, schemas.RATING).filter(F.col("batch") == 0).count() == len(events)
