@@ -189,16 +189,19 @@ def test_small_batch_does_not_shuffle_the_large_tables(spark):
     ranked = ranked_table(spark, sims)
     path = fresh_path(spark, "test-history-table")
     spark.createDataFrame(history, schemas.RATING).write.parquet(path)
-    plan = online.recommend(
-        spark.createDataFrame(events, schemas.RATING), spark.read.schema(schemas.RATING).parquet(path),
-        ranked, event_count=len(events),
-    )._jdf.queryExecution().sparkPlan().toString()
-    lines = plan.splitlines()
-    scans = [i for i, line in enumerate(lines) if "FileScan" in line]
-    assert len(scans) >= 4
-    for i in scans:
-        above = [line for line in lines[max(0, i - 4) : i] if "Join" in line]
-        assert above and "BroadcastHashJoin" in above[-1], "\n".join(lines[max(0, i - 4) : i + 1])
+    table = spark.read.schema(schemas.RATING).parquet(path)
+    current = online.newest_events(spark.createDataFrame(events, schemas.RATING))
+    near = online.only(ranked, current, "productId", small=True)
+    current = online.known_events(current, near, small=True)
+    chosen = online.candidates(current, table, near, small=True)
+    stored = spark.createDataFrame(chosen.collect(), chosen.schema)
+    for frame in (chosen, online.scores(stored, table, ranked, small=True)):
+        lines = frame._jdf.queryExecution().sparkPlan().toString().splitlines()
+        scans = [i for i, line in enumerate(lines) if "FileScan" in line]
+        assert scans
+        for i in scans:
+            above = [line for line in lines[max(0, i - 4) : i] if "Join" in line]
+            assert above and "BroadcastHashJoin" in above[-1], "\n".join(lines[max(0, i - 4) : i + 1])
 
 
 def test_replayed_batch_changes_nothing(spark):
