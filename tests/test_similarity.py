@@ -69,6 +69,13 @@ def test_content_pairs_are_exact_with_a_third_of_copies(spark, monkeypatch, chun
     assert pairs_of(content.content_sims(product_frame(spark, tags))) == direct_sims(tags)
 
 
+def test_content_pairs_are_exact_with_hot_terms_and_groups(spark, monkeypatch):
+    for module in (content, copies):
+        monkeypatch.setattr(module, "heavy_rows", lambda c, s, k: skew.heavy_rows(c, s, k, 2))
+    tags = random_tags(6, 60, 0.4)
+    assert pairs_of(content.content_sims(product_frame(spark, tags))) == direct_sims(tags)
+
+
 def test_product_of_common_tags_only_has_no_pairs(spark):
     tags = {1: "a", 2: "a", 3: "a|b", 4: "a|b", 5: "a|c"}
     found = pairs_of(content.content_sims(product_frame(spark, tags)))
