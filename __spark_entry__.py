@@ -18,6 +18,13 @@ from shelfwise.session import fresh_path
 from shelfwise.sources import batches, streams, tables, text
 from shelfwise.streaming import ratings as rating_stream
 
+try:
+    from shelfwise.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("shelfwise.llm", "corpus_pipeline"):
+        raise
+    llm_queries = None
+
 DIGITS = 6
 
 
@@ -336,6 +343,10 @@ def _on_predictions(plan: Callable[[DataFrame, DataFrame], DataFrame], *digits:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _own_queries() | (llm_queries.queries() if llm_queries else {})
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "load_products": _load_products,
         "load_ratings": _load_ratings,
@@ -481,6 +492,10 @@ def _top(source: str, key: str, n: int) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _own_sql() | (llm_queries.oracle_sql() if llm_queries else {})
+
+
+def _own_sql() -> dict[str, str]:
     ratings = _sql(["ratings"], "SELECT * FROM ratings")
     products = _sql(["products"], "SELECT * FROM products")
     cooc = ["ratings", "counts", "cells", "ordered", "cooc"]
