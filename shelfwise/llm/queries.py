@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import packing, secrets, tokens
+from shelfwise.llm import minhash, packing, secrets, tokens
 from shelfwise.llm.common import read
 
 
@@ -33,6 +33,10 @@ def op8_transducer_tokens(spark: SparkSession, base: str) -> DataFrame:
     return tokens.count_tokens(read(spark, base, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op10_circulant_minhash(spark: SparkSession, base: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, base, "documents"))
+
+
 def queries() -> dict:
     return {name: query for name, query in globals().items() if name.startswith("op")}
 
