@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import minhash, packing, secrets, tokens
+from shelfwise.llm import decontamination, minhash, packing, secrets, tokens
 from shelfwise.llm.common import read
 
 
@@ -25,6 +25,10 @@ def op1_secret_scan(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def op4_template_decontamination(spark: SparkSession, base: str) -> DataFrame:
+    return decontamination.contaminated(read(spark, base, "documents"), read(spark, base, "benchmark"))
+
+
 def op5_retrieval_packing(spark: SparkSession, base: str) -> DataFrame:
     return packing.pack(read(spark, base, "documents"), vocabulary("word_bpe_49k.json"))
 
