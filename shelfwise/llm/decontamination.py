@@ -64,7 +64,9 @@ def _windows(texts: DataFrame, key: str, width: int, names: bool) -> DataFrame:
     tokens = texts.filter(F.col("prepared").contains(NAME)) if names else texts
     tokens = tokens.select(key, words(canonical(F.col("prepared"), names)).alias("tokens"))
     hashed = tokens.select(key, window_hashes(F.col("tokens"), width).alias("hashes"))
-    return hashed.select(key, F.posexplode("hashes").alias("place", "window"))
+    # The outer form: for the inner one, Spark infers a filter on the array and moves it below
+    # the projections, where the words would be cut anew for every window.
+    return hashed.select(key, F.posexplode_outer("hashes").alias("place", "window")).filter("window is not null")
 
 
 def matches(docs: DataFrame, items: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
