@@ -23,10 +23,10 @@ WORDS = 5
 #: 48 bands of 8: a pair at 0.85 is missed with a chance of (1 - 0.85^8)^48 = 2e-7.
 BANDS, ROWS = 48, 8
 #: Bits of the signature that travel with a document, in words of 64. Two of them agree with a
-#: chance of (1 + similarity) / 2; a pair further apart than this is below 0.85 at 6 sigma.
-SKETCH_WORDS = 4
-MAX_DISTANCE = 45
-#: Nearest partners of a document that are verified before the rest.
+#: chance of (1 + similarity) / 2; a pair further apart than this is below 0.85 at 5 sigma.
+SKETCH_WORDS = 6
+MAX_DISTANCE = 55
+#: Near neighbours of a document that are verified before the rest.
 FIRST_PARTNERS = 3
 
 _FACTORS = np.array(
@@ -130,31 +130,70 @@ def _distance(left: Column, right: Column) -> Column:
     return sum(parts[1:], parts[0])
 
 
-def candidate_pairs(documents: DataFrame, percent: int) -> DataFrame:
-    """(a, b, distance) with a < b: pairs that share a band and whose sizes and sketches
-    allow the similarity. ``documents`` has doc_id, n_shingles, bands, bits, one row per set.
-
-    Buckets of one are dropped first. Pairs of a bucket are filtered where they meet, so
-    that only promising ones leave the join, which can be split for a large bucket.
-    """
-    keyed = documents.select("doc_id", F.explode("bands").alias("band"))
+def bucket_places(documents: DataFrame) -> DataFrame:
+    """One row per document and band whose bucket has other members: band, next_band (the key of the
+    band after it), doc_id, n_shingles, bits. ``documents`` has one row per class."""
+    following = F.concat(F.slice("bands", 2, BANDS - 1), F.slice("bands", 1, 1))
+    keyed = documents.select(
+        "doc_id", F.explode(F.arrays_zip(F.col("bands").alias("band"), following.alias("next_band"))).alias("key")
+    ).select("doc_id", "key.band", "key.next_band")
     shared = keyed.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1").select("band")
-    places = keyed.join(shared, "band")
-    described = documents.select("doc_id", "n_shingles", "bits")
-    placed = materialize(places.join(described, "doc_id"), "places")
-    left = placed.select("band", *[F.col(c).alias(f"{c}_a") for c in described.columns])
-    right = placed.select("band", *[F.col(c).alias(f"{c}_b") for c in described.columns])
+    return keyed.join(shared, "band").join(documents.select("doc_id", "n_shingles", "bits"), "doc_id")
+
+
+def _adjacent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Neighbours in sorted order that share a bucket, with their sketch distance."""
+    last = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if last is not None:
+            table = pa.concat_tables([last, table])
+        last = table.slice(table.num_rows - 1)
+        band, doc = (table.column(c).to_numpy() for c in ("band", "doc_id"))
+        bits = table.column("bits").combine_chunks().flatten().to_numpy().reshape(-1, SKETCH_WORDS)
+        at = np.flatnonzero((band[1:] == band[:-1]) & (doc[1:] != doc[:-1]))
+        distance = np.bitwise_count(bits[at] ^ bits[at + 1]).sum(axis=1, dtype=np.int64)
+        keep = distance <= MAX_DISTANCE
+        one, two = doc[at][keep], doc[at + 1][keep]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(distance[keep])],
+            ["a", "b", "distance"],
+        )
+
+
+def sorted_neighbours(places: DataFrame) -> DataFrame:
+    """(a, b): for each document the nearest of its neighbours when buckets are sorted by
+    the next band's key, as in a forest of prefix trees. Linear in the places."""
+    order = ["band", "next_band", "bits", "doc_id"]
+    ordered = places.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
+    met = ordered.mapInArrow(_adjacent, "a bigint, b bigint, distance bigint")
+    met = met.groupBy("a", "b").agg(F.min("distance").alias("distance"))
+    either = met.select(F.col("a").alias("doc_id"), F.col("b").alias("other"), "distance").union(
+        met.select("b", "a", "distance")
+    )
+    chosen = top_n(either, ["doc_id"], [F.col("distance"), F.col("other")], FIRST_PARTNERS)
+    return chosen.select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()
+
+
+def open_pairs(places: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(a, b) with a < b that share a bucket, lie in different components, and whose sizes and
+    sketches allow the similarity. All conditions are part of the join."""
+    component = labels.select(F.col("id").alias("doc_id"), "component")
+    placed = places.drop("next_band").join(component, "doc_id", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "doc_id"))
+    # Buckets that are one component already have nothing left to compare.
+    mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    placed = placed.join(mixed.filter("low <> high").select("band"), "band")
+    left = placed.select("band", *[F.col(c).alias(f"{c}_a") for c in placed.columns if c != "band"])
+    right = placed.select("band", *[F.col(c).alias(f"{c}_b") for c in placed.columns if c != "band"])
     small, large = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
-    distance = _distance(F.col("bits_a"), F.col("bits_b"))
     met = left.join(
         right,
         (left["band"] == right["band"]) & (F.col("doc_id_a") < F.col("doc_id_b"))
-        & (100 * small >= percent * large) & (distance <= MAX_DISTANCE),
-    )
-    return (
-        met.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"), distance.alias("distance"))
-        .groupBy("a", "b").agg(F.first("distance").alias("distance"))
+        & (F.col("component_a") != F.col("component_b")) & (100 * small >= percent * large)
+        & (_distance(F.col("bits_a"), F.col("bits_b")) <= MAX_DISTANCE),
     )
+    return met.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -177,9 +216,9 @@ def near_duplicates(
     have a null component and are kept. Repeated rows give repeated results. Further
     columns are not read. Ids must be whole numbers.
 
-    Documents with equal sets become one class by a hash of the set. For every class the
-    nearest partners by sketch are verified first; of all other candidate pairs those are
-    verified whose ends are not yet in one component, which cannot change the components.
+    Documents with equal sets become one class by a hash of the set. For every class its near
+    neighbours in sorted buckets are verified first. Of all other pairs that share a bucket
+    those are verified whose ends are not yet in one component: the others cannot change it.
     """
     plain = id_and_text(docs, id_column, text).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     sketched = materialize(
@@ -193,26 +232,16 @@ def near_duplicates(
         linkable.groupBy("set_key").agg(F.min("doc_id").alias("doc_id")), "classes"
     )
     members = linkable.join(classes, ["set_key", "doc_id"], "left_semi").dropDuplicates(["doc_id", "set_key"])
-    pairs = materialize(candidate_pairs(members.dropDuplicates(["doc_id"]), percent), "pairs")
+    places = materialize(bucket_places(members.dropDuplicates(["doc_id"])), "places")
 
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    ends = materialize(ends, "ends")
+    ends = materialize(places.select("doc_id").distinct(), "ends")
     involved = plain.join(broadcast_if_small(ends, ends.count(), 32), "doc_id", "left_semi")
     sets = materialize(
         involved.mapInArrow(_sets, "doc_id bigint, shingles array<bigint>").dropDuplicates(["doc_id"]), "sets"
     )
-
-    either = pairs.select(F.col("a").alias("doc_id"), F.col("b").alias("other"), "distance").union(
-        pairs.select("b", "a", "distance")
-    )
-    first = materialize(verified(_nearest(either), sets, percent), "first")
-    labels = connected_components(first)
-    side = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"component_{c}"))
-    open_pairs = (
-        pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
-        .filter(~F.coalesce("component_a", "a").eqNullSafe(F.coalesce("component_b", "b")))
-    )
-    links = first.union(verified(open_pairs, sets, percent))
+    first = materialize(verified(sorted_neighbours(places), sets, percent), "first")
+    rest = open_pairs(places, connected_components(first), percent)
+    links = first.union(verified(rest, sets, percent))
     labels = connected_components(links)
 
     component = F.coalesce("component", "class_id", "doc_id")
@@ -225,9 +254,3 @@ def near_duplicates(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
-
-
-def _nearest(either: DataFrame) -> DataFrame:
-    """Each document's nearest partners as pairs (a, b), a < b."""
-    chosen = top_n(either, ["doc_id"], [F.col("distance"), F.col("other")], FIRST_PARTNERS)
-    return chosen.select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()

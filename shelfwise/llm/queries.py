@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import decontamination, minhash, packing, secrets, tokens
-from shelfwise.llm.common import read
+from shelfwise.llm import decontamination, kneser_ney, minhash, packing, quality, secrets, tokens, toxicity
+from shelfwise.llm.common import held_out, read
 
 
 def vocabulary(name: str) -> str:
@@ -25,6 +25,10 @@ def op1_secret_scan(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def op2_robust_outliers(spark: SparkSession, base: str) -> DataFrame:
+    return quality.judge(read(spark, base, "documents"))
+
+
 def op4_template_decontamination(spark: SparkSession, base: str) -> DataFrame:
     return decontamination.contaminated(read(spark, base, "documents"), read(spark, base, "benchmark"))
 
@@ -33,10 +37,22 @@ def op5_retrieval_packing(spark: SparkSession, base: str) -> DataFrame:
     return packing.pack(read(spark, base, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op6_subword_toxicity(spark: SparkSession, base: str) -> DataFrame:
+    held = held_out("doc_id", 3, 1)
+    scored = toxicity.toxicity(read(spark, base, "documents"), read(spark, base, "labels"), ~held)
+    return scored.withColumn("held_out", held)
+
+
 def op8_transducer_tokens(spark: SparkSession, base: str) -> DataFrame:
     return tokens.count_tokens(read(spark, base, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op9_kneser_ney(spark: SparkSession, base: str) -> DataFrame:
+    held = held_out("doc_id", 7, 2)
+    scored = kneser_ney.perplexity(read(spark, base, "documents"), ~held)
+    return scored.withColumn("held_out", held)
+
+
 def op10_circulant_minhash(spark: SparkSession, base: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, base, "documents"))
 

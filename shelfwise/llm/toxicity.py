@@ -11,21 +11,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import held_out, id_and_text, slices
+from shelfwise.llm.common import id_and_text, slices
 
 BUCKETS, DIMENSIONS = 1 << 17, 4
 SHORTEST, LONGEST = 3, 5
 #: Rows of each class that the model is fitted on at most, chosen by hash.
-SAMPLE_ROWS = 2500
-EPOCHS, RATE = 40, 0.05
+SAMPLE_ROWS = 2000
+#: Full-batch steps; the first step size; what each step takes off the length of every vector,
+#: so that features that say nothing vanish.
+EPOCHS, RATE, SHRINK = 150, 1.0, 0.003
 #: A feature that fewer texts of the sample have is not fitted: it would only be learnt by heart.
-MIN_TEXTS = 8
+MIN_TEXTS = 5
 #: Words of one bag. A text's score is that of its most toxic bag: a few insults are as
 #: visible in a long text as in a short one.
-BAG = 10
+BAG = 128
 
 
 def letters(word: str) -> str:
@@ -35,16 +37,14 @@ def letters(word: str) -> str:
 
 
 def features(word: str) -> tuple[np.ndarray, np.ndarray]:
-    """(hash buckets, weights): the word itself has one half, its character n-grams the other."""
+    """(hash buckets, weights) of the word itself and of its character n-grams."""
     if not word:
         return np.zeros(0, np.int64), np.zeros(0, np.float32)
     edged = f"<{word}>"
     grams = dict.fromkeys(edged[i : i + n] for n in range(SHORTEST, LONGEST + 1) for i in range(len(edged) - n + 1))
     names = [f"={edged}", *grams]
     buckets = [xxhash.xxh3_64_intdigest(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in names]
-    weights = np.full(len(names), 0.5 / max(len(grams), 1), np.float32)
-    weights[0] = 0.5
-    return np.array(buckets), weights
+    return np.array(buckets), np.full(len(names), 1 / len(names), np.float32)
 
 
 def _sums(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -70,10 +70,10 @@ def bags(text: str) -> list[list[str]]:
     return [words[i : i + size] for i in range(0, len(words), size)] or [[]]
 
 
-def train(texts: list[str], toxic: list[int], prior: float) -> Model:
+def train(texts: list[str], toxic: list[int]) -> Model:
     """Full-batch Adam on the bags of the texts. Of a toxic text the bag that scores highest
-    at present carries the label, of a clean text its highest ones as well, so that both
-    classes are judged as they are scored later. ``prior`` is the share of toxic rows."""
+    at present carries the label, of a clean text all of them. Both classes weigh the same. Without
+    rows of both classes every text gets the score that the share of toxic rows suggests."""
     vocabulary: dict[str, int] = {}
     bag_words, bag_text = [], []
     for number, text in enumerate(texts):
@@ -86,7 +86,7 @@ def train(texts: list[str], toxic: list[int], prior: float) -> Model:
     vectors = random.normal(0, 0.02, (BUCKETS, DIMENSIONS)).astype(np.float32)
     direction = random.normal(0, 0.3, DIMENSIONS).astype(np.float32)
     if not bag_words or len(set(toxic)) < 2:
-        return Model(vectors, np.zeros(DIMENSIONS, np.float32), float(np.log((prior + 1e-3) / (1 - prior + 1e-3))))
+        return Model(vectors, np.zeros(DIMENSIONS, np.float32), float(np.log((sum(toxic) + 0.5) / (len(toxic) - sum(toxic) + 1.0))))
 
     # Only features that enough texts have; the others keep their share, as zeros.
     grams, shares = map(list, zip(*map(features, vocabulary)))
@@ -128,7 +128,7 @@ def train(texts: list[str], toxic: list[int], prior: float) -> Model:
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient * gradient
         moments[name] = mean, square
-        return value - RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+        return value - 0.05 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
 
     active = vectors[used] * common[used, None]
     position = np.searchsorted(used, gram)
@@ -148,7 +148,14 @@ def train(texts: list[str], toxic: list[int], prior: float) -> Model:
         g_word = _sums(g_vector[word_bag], word_first)
         g_active = _sums(g_word[gram_word] * sorted_share, used_first)
         g_active[~common[used]] = 0
-        active = adam("vectors", active, g_active.astype(np.float32), step)
+        # One step size for all vectors, or rare features would move as far as telling ones.
+        state = moments.setdefault("vectors", [np.zeros_like(active), 0.0])
+        state[0] = 0.9 * state[0] + 0.1 * g_active
+        state[1] = 0.99 * state[1] + 0.01 * float((g_active**2).sum(axis=1).max())
+        active = active - RATE * (state[0] / (1 - 0.9**step)) / np.sqrt(state[1] / (1 - 0.99**step) + 1e-30)
+        norm = np.sqrt((active**2).sum(axis=1, keepdims=True)) + 1e-12
+        active = active * np.maximum(0, 1 - SHRINK / norm)
+        active = active.astype(np.float32)
         direction = adam("direction", direction, g_direction.astype(np.float32), step)
         bias = float(adam("bias", np.array(bias), np.array(error.sum()), step))
     vectors *= 0
@@ -172,6 +179,7 @@ class Scorer(dict):
         return value
 
     def score(self, text: str) -> float:
+        """The chance of the most toxic bag; a text without words has the score 0."""
         words = text.split()
         if not words:
             return 0.0
@@ -181,3 +189,42 @@ class Scorer(dict):
         first = np.arange(0, len(words), size)
         means = np.add.reduceat(values, first) / np.diff(np.append(first, len(words)))
         return float(1 / (1 + np.exp(-np.clip(means.max() + self.model.bias, -30, 30))))
+
+
+def fit(docs: DataFrame, labels: DataFrame, train_on: Column, rows: int = SAMPLE_ROWS) -> Model:
+    """The model of at most ``rows`` labelled texts of each class where ``train_on`` (over
+    doc_id) is true, chosen by a hash of the id. ``docs`` has doc_id and text, ``labels``
+    doc_id and toxic; a null label is none, of repeated labels the largest counts."""
+    known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).filter(train_on)
+    known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    parts = [known.filter(F.col("toxic") == label).orderBy(*order).limit(rows) for label in (1, 0)]
+    chosen = parts[0].unionByName(parts[1])  # two times ``rows`` ids at most
+    sample = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic").collect()
+    sample.sort(key=lambda row: row["doc_id"])
+    return train([row["text"] for row in sample], [int(row["toxic"] == 1) for row in sample])
+
+
+def toxicity(
+    docs: DataFrame, labels: DataFrame, train_on: Column, threshold: float = 0.7,
+    id_column: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """doc_id, score, predicted for every row of ``docs``.
+
+    Only text is scored. Null and empty texts have the score 0, repeated rows get
+    repeated results, null ids stay null, further columns are not read. Without labels the
+    score is one half.
+    """
+    plain = id_and_text(docs, id_column, text)
+    model = fit(plain, labels, train_on)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # one number per hash bucket
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch in slices(batches, "text", 8 << 20):
+            scores = [scorer.score(text) for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
+
+    kind = docs.schema[id_column].dataType.simpleString()
+    scored = plain.mapInArrow(score, f"doc_id {kind}, score double")
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
