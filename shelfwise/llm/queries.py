@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import decontamination, kneser_ney, minhash, packing, quality, secrets, tokens, toxicity
+from shelfwise.llm import decontamination, kneser_ney, minhash, packing, pii, quality, secrets, tokens, toxicity
 from shelfwise.llm.common import held_out, read
 
 
@@ -43,6 +43,16 @@ def op6_subword_toxicity(spark: SparkSession, base: str) -> DataFrame:
     return scored.withColumn("held_out", held)
 
 
+def op7_weak_supervision_pii(spark: SparkSession, base: str) -> DataFrame:
+    found = pii.find_personal(read(spark, base, "documents"))
+    return found.select(
+        "doc_id",
+        *[pii.count_kind(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.span_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_transducer_tokens(spark: SparkSession, base: str) -> DataFrame:
     return tokens.count_tokens(read(spark, base, "documents"), vocabulary("byte_bpe_50k.json"))
 
