@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import decontamination, kneser_ney, minhash, packing, pii, quality, secrets, tokens, toxicity
+from shelfwise.llm import decontamination, kneser_ney, minhash, packing, pages, pii, quality, secrets, tokens, toxicity
 from shelfwise.llm.common import held_out, read
 
 
@@ -29,6 +29,10 @@ def op2_robust_outliers(spark: SparkSession, base: str) -> DataFrame:
     return quality.judge(read(spark, base, "documents"))
 
 
+def op3_scored_main_text(spark: SparkSession, base: str) -> DataFrame:
+    return pages.extract(read(spark, base, "pages"))
+
+
 def op4_template_decontamination(spark: SparkSession, base: str) -> DataFrame:
     return decontamination.contaminated(read(spark, base, "documents"), read(spark, base, "benchmark"))
 
