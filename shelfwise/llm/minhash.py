@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.common import broadcast_if_small, id_and_text, slices
 from shelfwise.llm.components import connected_components
+from shelfwise.operators.skew import hashed_chunk, triangle
 from shelfwise.operators.topn import top_n
 from shelfwise.sources.tables import materialize
 
@@ -28,6 +30,10 @@ SKETCH_WORDS = 6
 MAX_DISTANCE = 55
 #: Near neighbours of a document that are verified before the rest.
 FIRST_PARTNERS = 3
+#: Buckets of more members are compared in blocks, by full sets, and not pair by pair.
+SMALL_BUCKET = 24
+#: Shingles of a chunk of documents, on average.
+BLOCK_SHINGLES = 300_000
 
 _FACTORS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
@@ -175,15 +181,23 @@ def sorted_neighbours(places: DataFrame) -> DataFrame:
     return chosen.select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b")).distinct()
 
 
-def open_pairs(places: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """(a, b) with a < b that share a bucket, lie in different components, and whose sizes and
-    sketches allow the similarity. All conditions are part of the join."""
+def mixed_buckets(places: DataFrame, labels: DataFrame) -> DataFrame:
+    """The places of buckets that hold several components, with the component of each document and
+    the number of ``members`` and the smallest ``leader`` of its bucket. Others are done with."""
     component = labels.select(F.col("id").alias("doc_id"), "component")
     placed = places.drop("next_band").join(component, "doc_id", "left")
     placed = placed.withColumn("component", F.coalesce("component", "doc_id"))
-    # Buckets that are one component already have nothing left to compare.
-    mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    placed = placed.join(mixed.filter("low <> high").select("band"), "band")
+    mixed = placed.groupBy("band").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.count("*").alias("members"), F.min("doc_id").alias("leader"),
+    )
+    return placed.join(mixed.filter("low <> high").select("band", "members", "leader"), "band")
+
+
+def pairs_of_small(mixed: DataFrame, percent: int) -> DataFrame:
+    """(a, b) with a < b that share a small bucket, lie in different components, and whose sizes and
+    sketches allow the similarity. A place meets fewer than SMALL_BUCKET others."""
+    placed = mixed.filter(F.col("members") <= SMALL_BUCKET).drop("members", "leader")
     left = placed.select("band", *[F.col(c).alias(f"{c}_a") for c in placed.columns if c != "band"])
     right = placed.select("band", *[F.col(c).alias(f"{c}_b") for c in placed.columns if c != "band"])
     small, large = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
@@ -196,6 +210,67 @@ def open_pairs(places: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     return met.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
 
 
+def block_links(near: tuple[np.ndarray, list], far: tuple[np.ndarray, list], same: bool, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links between two chunks of documents, or inside one: an inverted
+    index of the second chunk counts what each document of the first has in common with it."""
+    ids, sets = far
+    sizes = np.array([len(s) for s in sets])
+    shingle, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(shingle, kind="stable")
+    shingle, owner = shingle[order], owner[order]
+    roots = {int(i): int(i) for i in (*near[0], *ids)}
+
+    def root(i: int) -> int:
+        while roots[i] != i:
+            roots[i] = i = roots[roots[i]]
+        return i
+
+    links = []
+    for at, (one, own) in enumerate(zip(near[0].tolist(), near[1])):
+        first, stop = np.searchsorted(shingle, own, "left"), np.searchsorted(shingle, own, "right")
+        hit = np.flatnonzero(stop > first)
+        if not len(hit):
+            continue
+        common = np.bincount(np.concatenate([owner[a:b] for a, b in zip(first[hit], stop[hit])]), minlength=len(sets))
+        if same:
+            common[: at + 1] = 0
+        linked = np.flatnonzero((common > 0) & (100 * common >= percent * (sizes + len(own) - common)))
+        for two in ids[linked].tolist():
+            a, b = root(one), root(two)
+            if a != b:
+                roots[max(a, b)] = min(a, b)
+                links.append((min(one, two), max(one, two)))
+    return links
+
+
+def links_of_large(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that connect what is connected by pairs inside large buckets.
+
+    Overlapping large buckets form a cloud. A cloud is cut into chunks by volume, any two
+    chunks meet in one task, and of the links found there by full sets a spanning forest leaves it.
+    """
+    placed = mixed.filter(F.col("members") > SMALL_BUCKET)
+    stars = placed.select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct()
+    clouds = connected_components(stars).select(F.col("id").alias("doc_id"), F.col("component").alias("cloud"))
+    described = clouds.join(placed.select("doc_id", "n_shingles").distinct(), "doc_id")
+    volume = described.groupBy("cloud").agg(F.sum("n_shingles").alias("volume"))
+    dealt = described.drop("n_shingles").join(volume, "cloud")
+    chunks = F.ceil(F.col("volume") / BLOCK_SHINGLES)
+    blocks = triangle(dealt, hashed_chunk(chunks, "doc_id"), chunks).drop("volume")
+    filled = blocks.join(sets, "doc_id")
+
+    def link(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("doc_id")
+        sides = []
+        for chunk in (key[1], key[2]):
+            rows = group[group["chunk"] == chunk]
+            sides.append((rows["doc_id"].to_numpy(), [np.asarray(s) for s in rows["shingles"]]))
+        found = block_links(*sides, key[1] == key[2], percent) if all(len(side[1]) for side in sides) else []
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return filled.groupBy("cloud", "lo", "hi").applyInPandas(link, "a bigint, b bigint")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have the similarity."""
     sides = [
@@ -217,8 +292,8 @@ def near_duplicates(
     columns are not read. Ids must be whole numbers.
 
     Documents with equal sets become one class by a hash of the set. For every class its near
-    neighbours in sorted buckets are verified first. Of all other pairs that share a bucket
-    those are verified whose ends are not yet in one component: the others cannot change it.
+    neighbours in sorted buckets are verified first. Then only buckets of several components matter:
+    in small ones the pairs across components are verified, large ones are compared block by block.
     """
     plain = id_and_text(docs, id_column, text).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     sketched = materialize(
@@ -240,8 +315,10 @@ def near_duplicates(
         involved.mapInArrow(_sets, "doc_id bigint, shingles array<bigint>").dropDuplicates(["doc_id"]), "sets"
     )
     first = materialize(verified(sorted_neighbours(places), sets, percent), "first")
-    rest = open_pairs(places, connected_components(first), percent)
-    links = first.union(verified(rest, sets, percent))
+    mixed = materialize(mixed_buckets(places, connected_components(first)), "mixed")
+    links = first.union(verified(pairs_of_small(mixed, percent), sets, percent))
+    if not mixed.filter(F.col("members") > SMALL_BUCKET).isEmpty():
+        links = links.union(links_of_large(mixed, sets, percent))
     labels = connected_components(links)
 
     component = F.coalesce("component", "class_id", "doc_id")

@@ -191,6 +191,21 @@ def rejection_steps(counts: list[tuple[int, int, int]], rate: float) -> list[int
     return steps
 
 
+def _examined(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    kind = docs.schema[id_column].dataType.simpleString()
+    found = id_and_text(docs, id_column, text).mapInArrow(
+        _examine,
+        f"doc_id {kind}, base array<struct<start:bigint,kind:int,end:bigint>>, base_sha256 string, "
+        "tested array<struct<start:bigint,end:bigint,size:int,step:int>>",
+    )
+    return materialize(found, "secrets")
+
+
+def _decided(examined: DataFrame, rate: float) -> list[int]:
+    tested = examined.select(F.explode("tested").alias("t")).groupBy("t.size", "t.step").count()
+    return rejection_steps([tuple(row) for row in tested.collect()], rate)
+
+
 def scan_secrets(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rate: float = 0.01) -> DataFrame:
     """doc_id, base_sha256, spans (array of start, kind number, end) for every row of ``docs``.
 
@@ -198,17 +213,8 @@ def scan_secrets(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     stay null, further columns are not read. The only thing that comes to the driver is
     the count of tokens per length class and p-value step, at most 7 x 241 numbers.
     """
-    examined = materialize(
-        id_and_text(docs, id_column, text).mapInArrow(
-            _examine,
-            f"doc_id {docs.schema[id_column].dataType.simpleString()}, base array<struct<start:bigint,kind:int,end:bigint>>, "
-            "base_sha256 string, tested array<struct<start:bigint,end:bigint,size:int,step:int>>",
-        ),
-        "secrets",
-    )
-    tested = examined.select(F.explode("tested").alias("t")).groupBy("t.size", "t.step").count()
-    steps = rejection_steps([tuple(row) for row in tested.collect()], rate)
-    limits = F.array(*[F.lit(step) for step in steps])
+    examined = _examined(docs, id_column, text)
+    limits = F.array(*[F.lit(step) for step in _decided(examined, rate)])
     chosen = F.transform(
         F.filter("tested", lambda t: t["step"] >= F.get(limits, t["size"])),
         lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")),
@@ -216,6 +222,34 @@ def scan_secrets(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     return examined.select("doc_id", "base_sha256", F.array_sort(F.concat("base", chosen)).alias("spans"))
 
 
+#: What stands for a secret in a redacted text.
+MARK = "[SECRET]"
+
+
+def _redact_text(text: str, steps: list[int]) -> str:
+    base = base_spans(text)
+    spans = [(start, end) for start, _, end in base]
+    spans += [(start, end) for start, end, size, step in candidates(text, base) if step >= steps[size]]
+    parts, at = [], 0
+    for start, end in sorted(spans):
+        if start >= at:
+            parts += [text[at:start], MARK]
+        at = max(at, end)
+    return "".join(parts) + text[at:]
+
+
+def redact(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rate: float = 0.01) -> DataFrame:
+    """``docs`` with a mark in place of every secret, all other columns as they are; overlapping
+    spans give one mark. Texts are examined again here, by the levels that all of them decide,
+    so that no table has to be joined back. A null text stays null."""
+    steps = _decided(_examined(docs, id_column, text), rate)
+
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else _redact_text(t, steps) for t in texts], dtype=object)
+
+    return docs.withColumn(text, F.pandas_udf(run, "string")(F.col(text)))
+
+
 def span_text(spans: Column) -> Column:
     """Spans as kind:start:end, comma-joined."""
     names = F.array(*[F.lit(kind) for kind in KINDS])
@@ -230,25 +264,3 @@ def span_text(spans: Column) -> Column:
 
 def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind))).cast("bigint")
-
-
-def _redact(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    out = []
-    for text, found in zip(texts, spans):
-        parts, at = [], 0
-        for span in found:
-            start, end = int(span["start"]), int(span["end"])
-            if start >= at:
-                parts += [text[at:start], MARK]
-            at = max(at, end)
-        out.append("".join(parts) + text[at:])
-    return pd.Series(out)
-
-
-#: What stands for a secret in a redacted text.
-MARK = "[SECRET]"
-
-
-def redact(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by the mark; overlapping spans give one mark."""
-    return F.pandas_udf(_redact, "string")(text, spans)

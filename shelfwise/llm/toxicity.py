@@ -6,9 +6,11 @@ shares most of its n-grams, and thereby its vector, with the word it comes from.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -57,6 +59,7 @@ class Model:
         #: The softmax of two classes reads only the difference of their weights.
         self.weights = (vectors @ direction).astype(np.float32)
         self.bias = bias
+        self.key = uuid.uuid4().hex
 
     def word(self, word: str) -> float:
         buckets, weights = features(letters(word))
@@ -163,6 +166,18 @@ def train(texts: list[str], toxic: list[int]) -> Model:
     return Model(vectors, 20 * direction, bias)
 
 
+_scorers: dict[str, "Scorer"] = {}
+
+
+def _scorer(shared) -> "Scorer":
+    """The worker's scorer of a model, kept from task to task; an older model's one is dropped."""
+    key = shared.value.key
+    if key not in _scorers:
+        _scorers.clear()
+        _scorers[key] = Scorer(shared.value)
+    return _scorers[key]
+
+
 class Scorer(dict):
     """Scores of texts; what words add is kept."""
 
@@ -220,7 +235,7 @@ def toxicity(
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one number per hash bucket
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = _scorer(shared)
         for batch in slices(batches, "text", 8 << 20):
             scores = [scorer.score(text) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
@@ -228,3 +243,16 @@ def toxicity(
     kind = docs.schema[id_column].dataType.simpleString()
     scored = plain.mapInArrow(score, f"doc_id {kind}, score double")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def without_toxic(
+    docs: DataFrame, labels: DataFrame, train_on: Column, threshold: float = 0.7, id_column: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(id_and_text(docs, id_column, text), labels, train_on))
+
+    def score(texts: pd.Series) -> pd.Series:
+        scorer = _scorer(shared)
+        return pd.Series([scorer.score(t or "") for t in texts], dtype="float64")
+
+    return docs.filter(F.pandas_udf(score, "double")(F.col(text)) < threshold)
