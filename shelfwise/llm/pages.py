@@ -61,14 +61,14 @@ def _key(name: str, attributes: str) -> str:
 def sequence(page: str) -> list[tuple[str, str, str, bool]]:
     """(key, tag name, text, inside the marked main text) of every token; text is empty for tags.
 
-    The key of words is the innermost container they stand in, with its hint and with a
+    Marked are the insides of <article> and <main>, without unlikely elements in them. The key of words is the innermost container they stand in, with its hint and with a
     mark for links; that of a tag is its name."""
-    out, stack = [], [("", "body")]
-    depth = 0
+    out, stack = [], [("", "body", False)]
+    depth = aside = 0
     for m in _TOKEN.finditer(page):
         closing, name, attributes, text = m.group(2), m.group(3), m.group(4), m.group(5)
         if text is not None:
-            out.append((stack[-1][1], "", text, depth > 0))
+            out.append((stack[-1][1], "", text, depth > 0 and not aside))
             continue
         if name is None:
             continue
@@ -76,7 +76,8 @@ def sequence(page: str) -> list[tuple[str, str, str, bool]]:
         if closing:
             at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
             if at:
-                depth -= sum(n in ("article", "main") for n, _ in stack[at:])
+                depth -= sum(n in ("article", "main") for n, _, _ in stack[at:])
+                aside -= sum(unlikely for _, _, unlikely in stack[at:])
                 del stack[at:]
         elif name in CONTAINERS and not attributes.endswith("/"):
             key = _key(name, attributes)
@@ -88,9 +89,11 @@ def sequence(page: str) -> list[tuple[str, str, str, bool]]:
                 key = f"{outer.removesuffix(' a')} a"
             elif name in UNLIKELY and outer.split(".")[0] in ("article", "main"):
                 key = f"{outer.split(' ')[0]} {key}"
-            stack.append((name, key))
+            unlikely = name in UNLIKELY or "." in key.split(" ")[-1]
+            stack.append((name, key, unlikely))
             depth += name in ("article", "main")
-        out.append((f"<{name}" if name in KNOWN else "<other", name, "", depth > 0))
+            aside += unlikely
+        out.append((f"<{name}" if name in KNOWN else "<other", name, "", depth > 0 and not aside))
     return out
 
 

@@ -1,0 +1,160 @@
+"""Quality rules, page text, toxicity, perplexity and the pipeline."""
+
+from __future__ import annotations
+
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import corpus_pipeline
+from shelfwise.llm import kneser_ney, pages, quality, queries, toxicity
+from shelfwise.llm.common import held_out
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_quality(text):
+    words = WORD.findall(text)
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    seen, covered = Counter(windows), set()
+    for i, window in enumerate(windows):
+        if seen[window] > 1:
+            covered.update(range(i, i + 8))
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
+
+
+def test_statistics_of_documents(spark, base, texts):
+    for row in queries.op2_robust_outliers(spark, base).collect():
+        expected = brute_quality(texts[row["doc_id"]])
+        assert tuple(row[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == expected
+        assert row["base_failed"] == (expected[0] < 20 or 100 * expected[4] > 30 * expected[0])
+        assert not (row["kept"] and row["base_failed"])
+
+
+def test_outliers_are_rejected(spark):
+    clean = [(i, " ".join(f"word{(i * 7 + k * 13) % 997}" for k in range(60 + i % 50)), "en", "a") for i in range(400)]
+    odd = [(1000 + i, " ".join(f"w{k}###" for k in range(80)), "en", "a") for i in range(40)]
+    docs = spark.createDataFrame(clean + odd, "doc_id bigint, text string, lang string, source string")
+    kept = {r["doc_id"]: r["kept"] for r in quality.judge(docs).collect()}
+    assert all(kept[i] for i in range(400)) and not any(kept[1000 + i] for i in range(40))
+
+
+def test_awkward_quality(awkward, nothing):
+    rows = quality.judge(awkward).collect()
+    assert len(rows) == awkward.count()
+    assert {r["doc_id"]: r["n_words"] for r in rows}[6] == 90
+    assert quality.judge(nothing).count() == 0
+
+
+PAGE = (
+    '<html><head><title>T t</title><script>var a="</p>";</script></head><body><nav><ul><li><a href="/x">Home</a></li></ul></nav>'
+    '<div class="ad">Buy this now please all of you.</div><article><h1>A  title</h1><p>First <b>bold</b>&amp;\n more<br><p>Second'
+    '<form>Name <input></form></article><footer>&copy; us &middot; and more words here</footer></body></html>'
+)
+
+
+def test_page_text(spark, nothing):
+    rows = [(i, "u", PAGE.replace("First", f"First{i}")) for i in range(30)] + [(90, None, None), (91, "u", ""), (92, "u", "<<< &am"), (92, "u", "<<< &am")]
+    found = {r["page_id"]: r for r in pages.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert found[3]["text"] == "A title\nFirst3 bold& more\nSecond" and found[3]["n_chars"] == len(found[3]["text"])
+    assert found[90]["text"] == found[91]["text"] == "" and found[90]["n_chars"] == 0
+    empty = spark.createDataFrame([], "page_id bigint, url string, html string")
+    assert pages.extract(empty).count() == 0
+
+
+def test_pages_without_labels_use_the_given_weights():
+    page = '<body><div id="menu"><a href="/">Home</a></div><div><p>Some words of the text.</p><p>More of it.</p></div><footer>Imprint</footer>'
+    assert pages.main_text(page, {}) == "Some words of the text.\nMore of it."
+
+
+def test_pages_of_the_table(spark, base):
+    import html
+
+    source = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{base}/pages.parquet").collect()}
+    for row in queries.op3_scored_main_text(spark, base).collect():
+        inner = re.search(r"<article>(.*?)</article>", source[row["page_id"]], re.DOTALL).group(1)
+        blocks = re.split(r"</?(?:h1|h2|p|br|ul|li|table|tr|td|div)\b[^>]*>", inner)
+        lines = (" ".join(html.unescape(re.sub(r"<[a-zA-Z/][^>]*>", "", b)).split()) for b in blocks)
+        assert row["text"] == "\n".join(line for line in lines if line)
+
+
+def test_toxicity_of_held_out_texts(spark):
+    insults = ["idiot", "stupid", "scum", "moron"]
+    plain = [f"word{i} other{i % 17} thing{i % 5} more text that is kind and long enough to read" for i in range(300)]
+    rows = [(i, t if i % 3 else t.replace("kind", insults[i % 4]), int(i % 3 == 0)) for i, t in enumerate(plain)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(900, "a scumm text"), (901, None), (902, "")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(901, None)], "doc_id bigint, toxic int")
+    found = {r["doc_id"]: r for r in toxicity.toxicity(docs, labels, ~held_out("doc_id", 3, 1)).collect()}
+    test = [(i, y) for i, _, y in rows if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert sum(found[i]["predicted"] == y for i, y in test) >= 0.95 * len(test)
+    assert found[900]["score"] > found[1]["score"] and found[901]["score"] == found[902]["score"] == 0
+
+
+def test_toxicity_without_labels(awkward, nothing, spark):
+    labels = spark.createDataFrame([], "doc_id bigint, toxic int")
+    assert toxicity.toxicity(awkward, labels, ~held_out("doc_id", 3, 1)).count() == awkward.count()
+    assert toxicity.toxicity(nothing, labels, ~held_out("doc_id", 3, 1)).count() == 0
+
+
+def brute_model(train):
+    words, pairs = Counter(), Counter()
+    for tokens in train:
+        words.update(tokens)
+        pairs.update(zip([None, *tokens[:-1]], tokens))
+    of = lambda counts: [Counter(counts.values())[k] for k in (1, 2, 3, 4)]
+    follow = Counter(w for _, w in pairs)
+    d, e = kneser_ney.discounts(of(pairs)), kneser_ney.discounts(of(follow))
+    total, classes = Counter(), defaultdict(lambda: [0, 0, 0, 0])
+    for (v, w), n in pairs.items():
+        total[v] += n
+        classes[v][min(n, 3)] += 1
+    rest = sum(e[min(n, 3)] for n in follow.values()) / len(pairs)
+
+    def chance(v, w):
+        low = max(follow[w] - e[min(follow[w], 3)], 0) / len(pairs) + rest / (len(words) + 1)
+        if not total[v]:
+            return low
+        n = pairs[v, w]
+        return (max(n - d[min(n, 3)], 0) + sum(d[k] * classes[v][k] for k in (1, 2, 3)) * low) / total[v]
+
+    return words, chance
+
+
+def test_perplexity_of_documents(spark, base, texts):
+    tokens = {i: [*t.encode().lower().split(), b"\n"] for i, t in texts.items()}
+    learnt = [t for i, t in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    words, chance = brute_model(learnt)
+    n, v = sum(words.values()), len(words)
+    assert math.isclose(sum(chance(b"the", w) for w in [*words, b"?unseen?"]), 1, rel_tol=1e-9)
+    for row in queries.op9_kneser_ney(spark, base).collect():
+        own = tokens[row["doc_id"]]
+        assert (row["n_tokens"], row["n_known"], row["train_tokens"]) == (len(own), sum(w in words for w in own), n)
+        assert math.isclose(row["base_score"], sum(math.log10((words[w] + 1) / (n + v + 1)) for w in own), rel_tol=1e-9)
+        assert math.isclose(row["score"], sum(math.log10(chance(a, b)) for a, b in zip([None, *own[:-1]], own)), rel_tol=1e-9)
+
+
+def test_awkward_perplexity(awkward, nothing):
+    held = held_out("doc_id", 7, 2)
+    rows = kneser_ney.perplexity(awkward, ~held).collect()
+    assert len(rows) == awkward.count() and all(r["score"] <= 0 for r in rows)
+    assert kneser_ney.perplexity(nothing, ~held).count() == 0
+    assert {r["score"] for r in kneser_ney.perplexity(awkward, held_out("doc_id", 1, 5)).collect()} == {0.0}
+
+
+def test_stages_keep_columns_and_clean_rows(spark, base, documents, awkward):
+    docs, columns = documents, documents.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        before = docs.count()
+        docs = spark.createDataFrame(stage(spark, docs, base).collect(), documents.schema)
+        assert docs.columns == columns and 0.5 * before < docs.count() <= before
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{base}/labels.parquet").collect()}
+    left = {r["doc_id"] for r in docs.collect()}
+    found = queries.op4_template_decontamination(spark, base).collect()
+    assert not left & {r["doc_id"] for r in found} and labels
+    extra = awkward
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        extra = stage(spark, extra, base)
+    assert extra.filter("doc_id is null").count() == 1
+    assert corpus_pipeline.STAGES[-1][1](spark, extra, base).count() >= extra.count()
