@@ -481,7 +481,7 @@ _ONLINE = ["ratings", *_CONTENT, "recent", "current"]
 
 
 def _sql(parts: list[str], body: str) -> str:
-    named = ",\n".join(f"{name} AS ({_PARTS[name]})" for name in parts)
+    named = ",\n".join(f"{name} AS MATERIALIZED ({_PARTS[name]})" for name in parts)
     return f"WITH {named}\n{body}"
 
 

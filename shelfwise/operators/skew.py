@@ -4,74 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# No more keys than this are ever treated as heavy, which bounds what is
-# broadcast. Any other key then holds less than 1/4096 of the rows.
-MAX_HEAVY_KEYS = 4096
-HEAVY_ROWS = 1_000_000
+# Rows of one key that go to one task, on average.
+ROWS_PER_SALT = 1_000_000
 
 
-def heavy_rows(
-    counts: DataFrame, size: str, keys: Sequence[str], min_rows: int = HEAVY_ROWS
-) -> list[Row]:
-    """The heaviest keys of a count table with their sizes, at most 4096, largest first.
+def hot_keys(
+    counts: DataFrame, size: str, keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT
+) -> DataFrame:
+    """Keys with more rows than one salt takes, and their number of ``salts``.
 
-    This runs now: one aggregation that lets the plan stay plain when nothing is hot.
+    A table of any length that is never collected; it has fewer rows than the counted
+    table has multiples of ``rows_per_salt``, so that joins with it are cheap.
     """
-    heaviest = (
-        counts.filter(F.col(size) > min_rows)
-        .orderBy(F.col(size).desc(), *keys)
-        .limit(MAX_HEAVY_KEYS)
-        .select(*keys, size)
-    )
-    return heaviest.collect()
+    hot = counts.filter(F.col(size) > rows_per_salt)
+    return hot.select(*keys, F.ceil(F.col(size) / rows_per_salt).alias("salts"))
 
 
-def lookup_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], heavy: list[Row]
-) -> DataFrame:
-    """Inner join to a side that has few rows per key, with hot keys on the left.
-
-    Rows of the ``heavy`` keys meet a broadcast slice of ``right`` where they are, so
-    a key with a third of all rows is never shuffled into one task. The slice holds
-    4096 keys at most. The other rows join as usual.
-    """
-    on = list(on)
-    if not heavy:
-        return left.join(right, on)
-    schema = right.select(*on).schema
-    keys = left.sparkSession.createDataFrame([[row[c] for c in on] for row in heavy], schema)
-    keys = F.broadcast(keys)
-    hot_right = F.broadcast(right.join(keys, on, "left_semi"))
-    hot = left.join(hot_right, on)
-    cold = left.join(keys, on, "left_anti").join(right, on)
-    return hot.unionByName(cold)
+def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], hot: DataFrame) -> DataFrame:
+    """Inner join to a side that has few rows per key, with ``hot_keys`` of the left side."""
+    return salted_join(left, right, on, hot, left.columns)
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], hot: str, heavy: list[Row],
-    salt_by: Sequence[str], rows_per_salt: int = HEAVY_ROWS,
+    left: DataFrame, right: DataFrame, on: Sequence[str], hot: DataFrame, salt_by: Sequence[str]
 ) -> DataFrame:
-    """Inner join where the right side may have many rows per key, too.
+    """Inner join whose left rows of hot keys are dealt to salts by a hash of ``salt_by``; their
+    right rows are repeated per salt. A key that is not hot has the one salt 0.
 
-    ``heavy`` are values of the key column ``hot`` with their row counts on the left.
-    Their left rows are dealt to salts by a hash of ``salt_by``, and their right rows
-    are repeated per salt.
+    ``hot`` is keyed by one or more of the columns ``on``.
     """
-    on = list(on)
-    if not heavy:
-        return left.join(right, on)
-    salts = [(row[0], -(-row[1] // rows_per_salt)) for row in heavy]
-    kind = left.schema[hot].dataType.simpleString()
-    salts = F.broadcast(left.sparkSession.createDataFrame(salts, f"{hot} {kind}, salts bigint"))
+    keys = [c for c in hot.columns if c != "salts"]
     count = F.coalesce("salts", F.lit(1).cast("bigint"))
-    dealt = left.join(salts, hot, "left").withColumn("salt", hashed_chunk(count, *salt_by))
-    repeated = right.join(salts, hot, "left").withColumn(
+    dealt = left.join(hot, keys, "left").withColumn("salt", hashed_chunk(count, *salt_by))
+    repeated = right.join(hot, keys, "left").withColumn(
         "salt", F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1))
     )
-    return dealt.drop("salts").join(repeated.drop("salts"), [*on, "salt"]).drop("salt")
+    joined = dealt.drop("salts").join(repeated.drop("salts"), [*on, "salt"])
+    others = [c for c in left.columns if c not in on]
+    return joined.select(*on, *others, *[c for c in right.columns if c not in on])
 
 
 def triangle(df: DataFrame, chunk: Column, chunks: Column) -> DataFrame:

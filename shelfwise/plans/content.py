@@ -12,7 +12,7 @@ from shelfwise import settings
 from shelfwise.functions.columns import inverse_document_frequency, tags_text, tokens
 from shelfwise.operators.copies import digest, expand, group_copies, member_parts
 from shelfwise.operators.cosine import sparse_pairs, sparse_vectors
-from shelfwise.operators.skew import heavy_rows, lookup_join
+from shelfwise.operators.skew import hot_keys, lookup_join
 from shelfwise.sources.tables import materialize
 
 
@@ -57,7 +57,7 @@ def weighted_terms(documents: DataFrame) -> DataFrame:
     """(id, copies, term, tf, weight, spread) over the exact vocabulary."""
     counts = term_counts(documents)
     statistics = term_statistics(counts, documents)
-    hot = heavy_rows(statistics, "spread", ["term"])
+    hot = hot_keys(statistics, "spread", ["term"])
     return lookup_join(counts, statistics, ["term"], hot).select(
         "id", "copies", "term", "tf", (F.col("tf") * F.col("idf")).alias("weight"), "spread"
     )

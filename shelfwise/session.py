@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,12 +29,16 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a test) gets a folder of its own.
+    Only a local session without that setting (a test) gets a folder of its own: on a
+    cluster each executor would write to its own disk.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder when the master is {master}")
         folder = tempfile.mkdtemp(prefix="shelfwise-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")

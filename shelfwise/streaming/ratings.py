@@ -39,23 +39,24 @@ def rating_events(messages: DataFrame, strict: bool = True) -> DataFrame:
 
 def update_lists(
     history: DataFrame, ranked: DataFrame, history_path: str, lists_path: str,
-    report: Callable[[int, int], None] | None = None, **parameters,
+    report: Callable[[int, int], None] | None = None, run: int = 1, **parameters,
 ) -> Callable[[DataFrame, int], None]:
     """The action on each micro-batch: add it to the history, then write its users' lists.
 
     ``report`` gets the batch number and how many users were skipped, because their
-    newest event is on a product without a similarity list.
+    newest event is on a product without a similarity list. ``run`` numbers the checkpoint;
+    a job that starts with a new one over kept tables takes ``batches.next_run``.
     """
 
     def update(events: DataFrame, batch: int) -> None:
         spark = events.sparkSession
-        batches.write_batch(events, history_path, batch)
+        batches.write_batch(events, history_path, batch, run)
         arrived = batches.read_batches(spark, history_path, schemas.RATING)
-        arrived = arrived.filter(F.col("batch") <= batch)
-        known = history.unionByName(arrived.drop("batch"))
-        mine = arrived.filter(F.col("batch") == batch).drop("batch")
-        lists = online.recommend(mine, known, ranked, event_count=mine.count(), **parameters)
-        batches.write_batch(lists, lists_path, batch)
+        arrived = arrived.filter((F.col("run") < run) | (F.col("batch") <= batch))
+        known = history.unionByName(arrived.drop("run", "batch"))
+        mine = arrived.filter((F.col("run") == run) & (F.col("batch") == batch)).drop("run", "batch")
+        lists = online.recommend(mine, known, ranked, **parameters)
+        batches.write_batch(lists, lists_path, batch, run)
         if report:
             report(batch, online.skipped_events(online.newest_events(mine), ranked).count())
 

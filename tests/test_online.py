@@ -77,18 +77,18 @@ def random_case(seed: int):
     return events, history, sims
 
 
-@pytest.mark.parametrize("event_count", [None, 80])
+@pytest.mark.parametrize("small_batch", [0, 80])
 @pytest.mark.parametrize("hot_rows", [1, 1_000_000])
-def test_batch_equals_one_event_after_another(spark, monkeypatch, hot_rows, event_count):
-    real = online.heavy_rows
-    monkeypatch.setattr(online, "heavy_rows", lambda c, s, k: real(c, s, k, hot_rows))
+def test_batch_equals_one_event_after_another(spark, monkeypatch, hot_rows, small_batch):
+    real = online.hot_keys
+    monkeypatch.setattr(online, "hot_keys", lambda c, s, k: real(c, s, k, hot_rows))
+    monkeypatch.setattr(online, "SMALL_BATCH", small_batch)
     monkeypatch.setattr(online, "SLICE", 8)
     events, history, sims = random_case(4)
     found = online.recommend(
         spark.createDataFrame(events, schemas.RATING),
         spark.createDataFrame(history, schemas.RATING),
         ranked_table(spark, sims),
-        event_count=event_count,
     )
     assert as_lists(found) == direct(events, history, sims)
 
@@ -116,14 +116,6 @@ def test_pair_similarity_defaults_to_zero(spark):
     assert {(r["productId"], r["score"]) for r in found} == {(1, 0.5), (2, 0.0)}
 
 
-def test_upsert_replaces_and_is_idempotent(spark):
-    old = spark.createDataFrame([(1, [(2, 0.5)]), (3, [(4, 0.5)])], schemas.USER_LIST)
-    new = spark.createDataFrame([(1, []), (9, [(2, 0.1)])], schemas.USER_LIST)
-    once = online.upsert(old, new)
-    assert as_lists(once) == {1: [], 3: [(4, 0.5)], 9: [(2, 0.1)]}
-    assert as_lists(online.upsert(once, new)) == as_lists(once)
-
-
 def test_log_lines(spark):
     values = [
         "INFO PRODUCT_RATING_PREFIX: 4|17|5.0|13 ",
@@ -184,6 +176,23 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark):
     assert as_lists(batches.latest(batches.read_batches(spark, compacted, schemas.USER_LIST), "userId")) == expected
 
 
+def test_new_checkpoint_over_a_compacted_table_loses_nothing(spark):
+    path, into = fresh_path(spark, "test-batches"), fresh_path(spark, "test-base")
+    old = spark.createDataFrame([(1, 5, 3.0, 1), (2, 6, 4.0, 2)], schemas.RATING)
+    batches.write_batch(old, path, 0)
+    batches.write_batch(old, path, 7)
+    batches.compact(spark, path, schemas.RATING, "userId", into, newest_only=False)
+    assert batches.next_run(spark, path) == 2 and batches.next_run(spark, into) == 1
+    assert batches.next_run(spark, fresh_path(spark, "test-none")) == 1
+    new = spark.createDataFrame([(1, 9, 5.0, 3)], schemas.RATING)
+    batches.write_batch(new, into, 0, batches.next_run(spark, into))
+    stored = batches.read_batches(spark, into, schemas.RATING)
+    assert stored.count() == 5
+    assert {r["userId"]: r["productId"] for r in batches.latest(stored, "userId").collect()} == {1: 9, 2: 6}
+    with pytest.raises(ValueError):
+        batches.write_batch(new, into, 0, batches.BASE_RUN)
+
+
 def test_small_batch_does_not_shuffle_the_large_tables(spark):
     events, history, sims = random_case(8)
     ranked = ranked_table(spark, sims)

@@ -71,7 +71,7 @@ def test_content_pairs_are_exact_with_a_third_of_copies(spark, monkeypatch, chun
 
 def test_content_pairs_are_exact_with_hot_terms_and_groups(spark, monkeypatch):
     for module in (content, copies):
-        monkeypatch.setattr(module, "heavy_rows", lambda c, s, k: skew.heavy_rows(c, s, k, 2))
+        monkeypatch.setattr(module, "hot_keys", lambda c, s, k: skew.hot_keys(c, s, k, 2))
     tags = random_tags(6, 60, 0.4)
     assert pairs_of(content.content_sims(product_frame(spark, tags))) == direct_sims(tags)
 
@@ -151,20 +151,27 @@ def test_lookup_join_with_hot_keys_keeps_all_rows(spark):
     left = left.unionByName(spark.range(500).select(F.lit(3).cast("long").alias("k"), "id"))
     right = spark.range(6).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     counts = left.groupBy("k").agg(F.count(F.lit(1)).alias("rows"))
-    heavy = skew.heavy_rows(counts, "rows", ["k"], min_rows=300)
-    assert [row["k"] for row in heavy] == [3]
-    joined = skew.lookup_join(left, right, ["k"], heavy)
-    plain = left.join(right, ["k"])
-    assert sorted(joined.collect()) == sorted(plain.select(joined.columns).collect())
+    hot = skew.hot_keys(counts, "rows", ["k"], 300)
+    assert [(row["k"], row["salts"]) for row in hot.collect()] == [(3, 3)]
+    joined = skew.lookup_join(left, right, ["k"], hot)
+    assert sorted(joined.collect()) == sorted(left.join(right, ["k"]).select(joined.columns).collect())
+
+
+def test_every_key_may_be_hot(spark):
+    left = spark.range(12000).select((F.col("id") % 6000).alias("k"), "id")
+    right = spark.range(6000).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    counts = left.groupBy("k").agg(F.count(F.lit(1)).alias("rows"))
+    hot = skew.hot_keys(counts, "rows", ["k"], 1)
+    assert hot.count() == 6000 and skew.lookup_join(left, right, ["k"], hot).count() == 12000
 
 
 def test_salted_join_keeps_all_rows(spark):
     left = spark.range(600).select((F.col("id") % 7).cast("int").alias("k"), F.lit(1).alias("s"), "id")
     right = spark.range(30).select((F.col("id") % 5).cast("int").alias("k"), F.lit(1).alias("s"), F.col("id").alias("v"))
     counts = left.groupBy("k").agg(F.count(F.lit(1)).alias("rows"))
-    heavy = skew.heavy_rows(counts, "rows", ["k"], min_rows=85)
-    assert heavy
-    joined = skew.salted_join(left, right, ["k", "s"], "k", heavy, ["id"], rows_per_salt=10)
+    hot = skew.hot_keys(counts, "rows", ["k"], 10)
+    assert hot.count() == 7
+    joined = skew.salted_join(left, right, ["k", "s"], hot, ["id"])
     plain = left.join(right, ["k", "s"])
     assert sorted(joined.select(plain.columns).collect()) == sorted(plain.collect())
 

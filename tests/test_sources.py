@@ -120,3 +120,14 @@ def test_statistics_are_ordered(spark):
         (8, 1, 197002), (7, 2, 197001), (9, 1, 197001)
     ]
     assert [tuple(r) for r in stats.average_scores(ratings).collect()] == [(8, 5.0), (7, 4.5), (9, 1.0)]
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    from types import SimpleNamespace
+
+    from shelfwise.session import shared_folder
+
+    conf = SimpleNamespace(get=lambda key, default: default)
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="shared folder"):
+        shared_folder(SimpleNamespace(conf=conf, sparkContext=context))
