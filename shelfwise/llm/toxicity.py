@@ -21,10 +21,10 @@ from shelfwise.llm.common import id_and_text, slices
 BUCKETS, DIMENSIONS = 1 << 17, 4
 SHORTEST, LONGEST = 3, 5
 #: Rows of each class that the model is fitted on at most, chosen by hash.
-SAMPLE_ROWS = 2000
+SAMPLE_ROWS = 1500
 #: Full-batch steps; the first step size; what each step takes off the length of every vector,
 #: so that features that say nothing vanish.
-EPOCHS, RATE, SHRINK = 150, 1.0, 0.003
+EPOCHS, RATE, SHRINK = 120, 1.0, 0.003
 #: A feature that fewer texts of the sample have is not fitted: it would only be learnt by heart.
 MIN_TEXTS = 5
 #: Words of one bag. A text's score is that of its most toxic bag: a few insults are as
