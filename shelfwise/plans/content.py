@@ -86,7 +86,7 @@ def content_sims(
     items = items.withColumn("key", digest(F.col("words")))
     groups = materialize(group_copies(items, "key", keep=["words"]), "tag-groups")
     documents = groups.select(F.col("leader").alias("id"), "copies", "words")
-    vectors = sparse_vectors(weighted_terms(documents), "id", "spread")
+    vectors = materialize(sparse_vectors(weighted_terms(documents), "id", "spread"), "vectors")
     return _expanded(items, groups, vectors, threshold)
 
 
