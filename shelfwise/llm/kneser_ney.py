@@ -25,14 +25,14 @@ from shelfwise.llm.common import id_and_text, slices
 from shelfwise.session import fresh_path
 from shelfwise.sources.tables import materialize
 
-WORD_SHARD_BYTES, PAIR_SHARD_BYTES = 64 << 20, 16 << 20
-BATCH_BYTES = 12 << 20
+WORD_SHARD_BYTES, PAIR_SHARD_BYTES = 32 << 20, 8 << 20
+BATCH_BYTES = 3 << 20
 #: The end of a text, as a word that no text can hold.
 END = b"\n"
 
 
 class _Hashes(dict):
-    MAX = 400_000
+    MAX = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > self.MAX:
