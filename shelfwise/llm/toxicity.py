@@ -7,6 +7,7 @@ shares most of its n-grams, and thereby its vector, with the word it comes from.
 from __future__ import annotations
 
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,26 +92,31 @@ def train(texts: list[str], toxic: list[int]) -> Model:
     if not bag_words or len(set(toxic)) < 2:
         return Model(vectors, np.zeros(DIMENSIONS, np.float32), float(np.log((sum(toxic) + 0.5) / (len(toxic) - sum(toxic) + 1.0))))
 
-    # Only features that enough texts have; the others keep their share, as zeros.
-    grams, shares = map(list, zip(*map(features, vocabulary)))
-    texts_with = np.zeros(BUCKETS, np.int64)
-    for number in range(len(texts)):
-        own = [bag_words[b] for b in range(*np.searchsorted(bag_text, [number, number + 1]))]
-        if own:
-            texts_with[np.unique(np.concatenate([grams[w] for w in np.unique(np.concatenate(own))]))] += 1
+    # Features as flat arrays of 32 bits: the sample has millions of them.
+    flat, sizes = array("i"), array("i")
+    for w in vocabulary:
+        buckets, _ = features(w)
+        flat.extend(buckets.tolist())
+        sizes.append(len(buckets))
+    gram, gram_size = np.frombuffer(flat, np.int32), np.frombuffer(sizes, np.int32)
+    gram_first = np.concatenate([[0], np.cumsum(gram_size)[:-1]])
+    texts_with = np.zeros(BUCKETS, np.int32)
+    bounds = np.searchsorted(bag_text, np.arange(len(texts) + 1))
+    for low, high in zip(bounds, bounds[1:]):
+        if high > low:
+            own = np.unique(np.concatenate(bag_words[low:high]))
+            texts_with[np.unique(np.concatenate([gram[gram_first[w] : gram_first[w] + gram_size[w]] for w in own]))] += 1
+    # Features of too few texts keep their share of the average, as zeros.
     common = texts_with >= MIN_TEXTS
     spare = int(np.flatnonzero(~common)[0]) if (~common).any() else 0
-    for w, (g, share) in enumerate(zip(grams, shares)):
-        kept = common[g]
-        grams[w], shares[w] = (g[kept], share[kept]) if kept.any() else (np.array([spare]), np.zeros(1, np.float32))
-    gram_share = np.concatenate(shares)[:, None]
-    gram_size = np.array([len(g) for g in grams])
-    gram = np.concatenate(grams)
-    gram_first = np.concatenate([[0], np.cumsum(gram_size)[:-1]])
-    gram_order = np.argsort(gram, kind="stable")
-    used, used_first = np.unique(gram[gram_order], return_index=True)
-    sorted_share = gram_share[gram_order]
-    gram_word = np.repeat(np.arange(len(grams)), gram_size)[gram_order]
+    gram = np.where(common[gram], gram, np.int32(spare))
+    gram_share = np.repeat((1 / gram_size).astype(np.float32), gram_size)[:, None]
+    order = np.argsort(gram, kind="stable")
+    used, used_first = np.unique(gram[order], return_index=True)
+    sorted_share = gram_share[order]
+    gram_word = np.repeat(np.arange(len(sizes), dtype=np.int32), gram_size)[order]
+    position = np.searchsorted(used, gram).astype(np.int32)
+    del order, gram
 
     bag_size = np.array([len(b) for b in bag_words])
     word = np.concatenate(bag_words)
@@ -134,9 +140,10 @@ def train(texts: list[str], toxic: list[int]) -> Model:
         return value - 0.05 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
 
     active = vectors[used] * common[used, None]
-    position = np.searchsorted(used, gram)
     for step in range(1, EPOCHS + 1):
-        words = _sums(active[position] * gram_share, gram_first)
+        rows = active[position]
+        rows *= gram_share
+        words = _sums(rows, gram_first)
         vector = _sums(words[word], bag_first) / bag_size[:, None]
         logit = 20 * (vector @ direction) + bias
         chance = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
@@ -149,7 +156,10 @@ def train(texts: list[str], toxic: list[int]) -> Model:
         g_direction = 20 * (error @ vector) 
         g_vector = (20 * error / bag_size)[:, None] * direction[None, :]
         g_word = _sums(g_vector[word_bag], word_first)
-        g_active = _sums(g_word[gram_word] * sorted_share, used_first)
+        rows = g_word.astype(np.float32)[gram_word]
+        rows *= sorted_share
+        g_active = _sums(rows, used_first)
+        del rows
         g_active[~common[used]] = 0
         # One step size for all vectors, or rare features would move as far as telling ones.
         state = moments.setdefault("vectors", [np.zeros_like(active), 0.0])
