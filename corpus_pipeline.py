@@ -14,6 +14,9 @@ from shelfwise.sources.tables import materialize
 
 ORACLE_SQL = None
 
+#: Least Jaccard similarity, in percent, at which two documents of the pipeline count as near copies.
+NEAR_PERCENT = 80
+
 
 def _without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     """The rows whose doc_id is not among ``ids``; rows without an id stay."""
@@ -27,7 +30,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, and one row of each id."""
-    verdicts = materialize(minhash.near_duplicates(docs), "verdicts").filter("doc_id is not null")
+    verdicts = materialize(minhash.near_duplicates(docs, percent=NEAR_PERCENT), "verdicts").filter("doc_id is not null")
     kept = _without(docs, verdicts.filter("not kept"), "copies")
     if not verdicts.groupBy("doc_id").count().filter("count > 1").isEmpty():
         named = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])

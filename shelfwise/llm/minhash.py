@@ -6,6 +6,7 @@ domain, the second ranks them, and coordinate k ranks them after a circular shif
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,12 +23,12 @@ from shelfwise.operators.topn import top_n
 from shelfwise.sources.tables import materialize
 
 WORDS = 5
-#: 48 bands of 8: a pair at 0.85 is missed with a chance of (1 - 0.85^8)^48 = 2e-7.
-BANDS, ROWS = 48, 8
-#: Bits of the signature that travel with a document, in words of 64. Two of them agree with a
-#: chance of (1 + similarity) / 2; a pair further apart than this is below 0.85 at 5 sigma.
+#: Chance at most, of the bands and of the sketch each, that a pair at exactly the threshold is missed.
+MISSED = 3e-7
+#: A band of a pair at the threshold agrees with this chance at least, or has so many rows at most.
+BAND_CHANCE, MOST_ROWS = 0.25, 16
+#: Bits of the signature that travel with a document, in words of 64.
 SKETCH_WORDS = 6
-MAX_DISTANCE = 55
 #: Near neighbours of a document that are verified before the rest.
 FIRST_PARTNERS = 3
 #: Buckets of more members are compared in blocks, by full sets, and not pair by pair.
@@ -41,6 +42,25 @@ _FACTORS = np.array(
 )
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, rows) for a threshold: 48 bands of 8 at 85, 50 bands of 6 at 80."""
+    similarity = min(max(percent, 1), 99) / 100
+    rows = min(MOST_ROWS, max(1, int(math.log(BAND_CHANCE) / math.log(similarity))))
+    return math.ceil(math.log(MISSED) / math.log1p(-(similarity**rows))), rows
+
+
+def most_distance(percent: int) -> int:
+    """The largest distance of two sketches that a pair at the threshold may have. Each bit
+    differs with a chance of (1 - similarity) / 2; beyond lies a binomial tail of MISSED at most."""
+    bits, differs = 64 * SKETCH_WORDS, (1 - min(percent, 99) / 100) / 2
+    tail = 0.0
+    for distance in range(bits, -1, -1):
+        tail += math.comb(bits, distance) * differs**distance * (1 - differs) ** (bits - distance)
+        if tail > MISSED:
+            return distance
+    return 0
+
+
 class _WordHashes(dict):
     MAX = 400_000
 
@@ -82,7 +102,7 @@ def _permute(x: np.ndarray, first: int, second: int) -> np.ndarray:
     return x
 
 
-def signature(shingles: np.ndarray, size: int = BANDS * ROWS) -> np.ndarray:
+def signature(shingles: np.ndarray, size: int = 64 * SKETCH_WORDS) -> np.ndarray:
     """The circulant MinHash signature of a set that is not empty."""
     scattered = _permute((shingles >> np.uint64(32)).astype(np.uint32) ^ shingles.astype(np.uint32), 0x7FEB352D, 0x846CA68B)
     shifts = np.arange(size, dtype=np.uint32)[:, None]
@@ -93,17 +113,18 @@ def signature(shingles: np.ndarray, size: int = BANDS * ROWS) -> np.ndarray:
     return least
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
+def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One 64-bit key per band, different bands never meeting."""
-    grid = sig.astype(np.uint64).reshape(BANDS, ROWS)
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64) * _FACTORS[0]
+    grid = sig[: bands * rows].astype(np.uint64).reshape(bands, rows)
+    keys = np.arange(1, bands + 1, dtype=np.uint64) * _FACTORS[0]
     for column in grid.T:
         keys = (keys ^ column) * _FACTORS[1]
         keys ^= keys >> np.uint64(31)
     return keys.view(np.int64)
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketch(batches: Iterator[pa.RecordBatch], n_bands: int, rows: int) -> Iterator[pa.RecordBatch]:
+    size = max(n_bands * rows, 64 * SKETCH_WORDS)
     for batch in slices(batches, "text", 8 << 20):
         sizes, keys, bands, bits = [], [], [], []
         for text in batch.column("text").to_pylist():
@@ -112,9 +133,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(shingles):
                 keys.append(None), bands.append(None), bits.append(None)
                 continue
-            sig = signature(shingles)
+            sig = signature(shingles, size)
             keys.append(xxhash.xxh3_128_digest(shingles.tobytes()))
-            bands.append(band_keys(sig))
+            bands.append(band_keys(sig, n_bands, rows))
             bits.append(np.packbits((sig[: 64 * SKETCH_WORDS] & 1).astype(np.uint8)).view(np.int64))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
@@ -139,7 +160,7 @@ def _distance(left: Column, right: Column) -> Column:
 def bucket_places(documents: DataFrame) -> DataFrame:
     """One row per document and band whose bucket has other members: band, next_band (the key of the
     band after it), doc_id, n_shingles, bits. ``documents`` has one row per class."""
-    following = F.concat(F.slice("bands", 2, BANDS - 1), F.slice("bands", 1, 1))
+    following = F.concat(F.slice("bands", F.lit(2), F.size("bands") - 1), F.slice("bands", 1, 1))
     keyed = documents.select(
         "doc_id", F.explode(F.arrays_zip(F.col("bands").alias("band"), following.alias("next_band"))).alias("key")
     ).select("doc_id", "key.band", "key.next_band")
@@ -147,7 +168,7 @@ def bucket_places(documents: DataFrame) -> DataFrame:
     return keyed.join(shared, "band").join(documents.select("doc_id", "n_shingles", "bits"), "doc_id")
 
 
-def _adjacent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _adjacent(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Neighbours in sorted order that share a bucket, with their sketch distance."""
     last = None
     for batch in batches:
@@ -159,7 +180,7 @@ def _adjacent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = table.column("bits").combine_chunks().flatten().to_numpy().reshape(-1, SKETCH_WORDS)
         at = np.flatnonzero((band[1:] == band[:-1]) & (doc[1:] != doc[:-1]))
         distance = np.bitwise_count(bits[at] ^ bits[at + 1]).sum(axis=1, dtype=np.int64)
-        keep = distance <= MAX_DISTANCE
+        keep = distance <= most
         one, two = doc[at][keep], doc[at + 1][keep]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(distance[keep])],
@@ -167,12 +188,13 @@ def _adjacent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def sorted_neighbours(places: DataFrame) -> DataFrame:
+def sorted_neighbours(places: DataFrame, percent: int) -> DataFrame:
     """(a, b): for each document the nearest of its neighbours when buckets are sorted by
     the next band's key, as in a forest of prefix trees. Linear in the places."""
     order = ["band", "next_band", "bits", "doc_id"]
     ordered = places.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
-    met = ordered.mapInArrow(_adjacent, "a bigint, b bigint, distance bigint")
+    most = most_distance(percent)
+    met = ordered.mapInArrow(lambda batches: _adjacent(batches, most), "a bigint, b bigint, distance bigint")
     met = met.groupBy("a", "b").agg(F.min("distance").alias("distance"))
     either = met.select(F.col("a").alias("doc_id"), F.col("b").alias("other"), "distance").union(
         met.select("b", "a", "distance")
@@ -205,7 +227,7 @@ def pairs_of_small(mixed: DataFrame, percent: int) -> DataFrame:
         right,
         (left["band"] == right["band"]) & (F.col("doc_id_a") < F.col("doc_id_b"))
         & (F.col("component_a") != F.col("component_b")) & (100 * small >= percent * large)
-        & (_distance(F.col("bits_a"), F.col("bits_b")) <= MAX_DISTANCE),
+        & (_distance(F.col("bits_a"), F.col("bits_b")) <= most_distance(percent)),
     )
     return met.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
 
@@ -296,9 +318,11 @@ def near_duplicates(
     in small ones the pairs across components are verified, large ones are compared block by block.
     """
     plain = id_and_text(docs, id_column, text).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    bands, rows = banding(percent)
     sketched = materialize(
         plain.mapInArrow(
-            _sketch, "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, bits array<bigint>"
+            lambda batches: _sketch(batches, bands, rows),
+            "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, bits array<bigint>",
         ),
         "sketches",
     )
@@ -314,7 +338,7 @@ def near_duplicates(
     sets = materialize(
         involved.mapInArrow(_sets, "doc_id bigint, shingles array<bigint>").dropDuplicates(["doc_id"]), "sets"
     )
-    first = materialize(verified(sorted_neighbours(places), sets, percent), "first")
+    first = materialize(verified(sorted_neighbours(places, percent), sets, percent), "first")
     mixed = materialize(mixed_buckets(places, connected_components(first)), "mixed")
     links = first.union(verified(pairs_of_small(mixed, percent), sets, percent))
     if not mixed.filter(F.col("members") > SMALL_BUCKET).isEmpty():
