@@ -1,10 +1,10 @@
 """Benchmark items in documents, also with other numbers, names and units.
 
 Both sides are canonicalised: words in lower case without punctuation, and typed placeholders
-for numbers, for units behind a number, and for names (capitalised words inside a sentence).
-Windows of the canonical words are hash-joined. Where a matched window has placeholders, each
-value of the item must stand for one value of the document throughout. Functions of Spark
-SQL only.
+for numbers with their separators, for units behind a number, and for runs of names: in one view
+capitalised words inside a sentence, in another all capitalised words. Windows of the canonical
+words are hash-joined view by view. Where a matched window has placeholders, each value of the
+item must stand for one value of the document throughout. Functions of Spark SQL only.
 """
 
 from __future__ import annotations
@@ -18,8 +18,11 @@ from shelfwise.sources.tables import materialize
 WINDOW = 10
 #: An item is found where so many percent of its windows are.
 PERCENT = 40
-#: Marks of names and units inside a prepared text, from the private use area.
-NAME, UNIT = "", ""
+#: Marks inside a prepared text, from the private use area: of a name inside a sentence, of a unit, of
+#: another capitalised word (a name or the start of a sentence), and what joins a run of names or a number.
+NAME, UNIT, MAYBE, JOIN, POINT = "\ue000", "\ue001", "\ue002", "\ue003", "\ue004"
+#: The readings of a text: plain words; whole numbers; names, too; all capitalised words as names.
+PLAIN, NUMBERS, NAMES, CAPITALS = VIEWS = range(4)
 #: Units that count as such behind a number (fixed values).
 UNITS = (
     "mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms "
@@ -30,26 +33,41 @@ UNITS = (
 
 
 def prepared(text: Column) -> Column:
-    """Lower case with marks before names and before units."""
-    text = F.translate(text, NAME + UNIT, "  ")
-    text = F.when(
-        text.rlike("[\\p{L}\\p{N},;] \\p{Lu}\\p{Ll}"),
-        F.regexp_replace(text, "(?<=[\\p{L}\\p{N},;] )(?=\\p{Lu}\\p{Ll})", NAME),
-    ).otherwise(text)
-    text = F.lower(text)
+    """Lower case with marks before names, other capitalised words and units, and with joined
+    runs of names and parts of numbers."""
+    text = F.translate(text, NAME + UNIT + MAYBE + JOIN + POINT, " " * 5)
+    marked = F.regexp_replace(text, "(?<![\\p{L}\\p{N}])(?=\\p{Lu}\\p{Ll})", MAYBE)
+    marked = F.regexp_replace(marked, f"(?<=[\\p{{L}}\\p{{N}},;] ){MAYBE}", NAME)
+    marked = F.regexp_replace(marked, f"([{NAME}{MAYBE}][\\p{{L}}\\p{{N}}]+)[\\s'’-]{{1,3}}(?=[{NAME}{MAYBE}])", f"$1{JOIN}")
+    text = F.lower(F.when(text.rlike("\\p{Lu}\\p{Ll}"), marked).otherwise(text))
     units = f"(?<=[0-9]) ?(?=(?:{'|'.join(UNITS.split())})(?![\\p{{L}}\\p{{N}}]))"
-    return F.when(text.rlike("[0-9]"), F.regexp_replace(text, units, f" {UNIT}")).otherwise(text)
+    numbers = F.regexp_replace(text, "(?<=\\p{N})[.,'’:/](?=\\p{N})", POINT)
+    return F.when(text.rlike("\\p{N}"), F.regexp_replace(numbers, units, f" {UNIT}")).otherwise(text)
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(text, f"[^\\p{{L}}\\p{{N}}{NAME}{UNIT}]+"), lambda w: w != "")
-
-
-def canonical(text: Column, names: bool) -> Column:
-    """A prepared text with placeholders; ``names`` says whether names get them, too."""
-    text = F.when(text.contains(NAME), F.regexp_replace(text, f"{NAME}[\\p{{L}}\\p{{N}}]+", NAME) if names else F.translate(text, NAME, "")).otherwise(text)
+    return F.filter(F.split(text, f"[^\\p{{L}}\\p{{N}}{NAME}{UNIT}{JOIN}{POINT}]+"), lambda w: w != "")
+
+
+def folded(text: Column, view: int) -> Column:
+    """A prepared text in which each number and each run of names of the view is one word."""
+    if view == PLAIN:
+        return F.translate(text, JOIN + POINT + NAME + MAYBE, "  ")
+    if view == NUMBERS:
+        return F.translate(text, JOIN + NAME + MAYBE, " ")
+    if view == NAMES:
+        single = F.regexp_replace(text, f"{JOIN}?{MAYBE}([\\p{{L}}\\p{{N}}]+){JOIN}?", " $1 ")
+        return F.when(text.contains(MAYBE), single).otherwise(text)
+    return F.translate(text, MAYBE, NAME)
+
+
+def canonical(text: Column, view: int) -> Column:
+    """A prepared text with the placeholders of the view, one for each word of the folded text."""
+    text = folded(text, view)
+    if view in (NAMES, CAPITALS):
+        text = F.when(text.contains(NAME), F.regexp_replace(text, f"{NAME}[\\p{{L}}\\p{{N}}{NAME}{JOIN}]+", NAME)).otherwise(text)
     text = F.when(text.contains(UNIT), F.regexp_replace(text, f"{UNIT}\\p{{L}}+", UNIT)).otherwise(text)
-    return F.when(text.rlike("\\p{N}"), F.regexp_replace(text, "\\p{N}+", "0")).otherwise(text)
+    return F.when(text.rlike("\\p{N}"), F.regexp_replace(text, f"\\p{{N}}+(?:{POINT}\\p{{N}}+)*", "0")).otherwise(text)
 
 
 def window_hashes(tokens: Column, width: int) -> Column:
@@ -59,68 +77,107 @@ def window_hashes(tokens: Column, width: int) -> Column:
     )
 
 
-def _windows(texts: DataFrame, key: str, width: int, names: bool) -> DataFrame:
-    """(key, place, window) of every window of one kind; places count from 0."""
-    tokens = texts.filter(F.col("prepared").contains(NAME)) if names else texts
-    tokens = tokens.select(key, words(canonical(F.col("prepared"), names)).alias("tokens"))
+def _windows(texts: DataFrame, key: str, width: int, view: int) -> DataFrame:
+    """(key, place, window) of every window of one view; places count from 0."""
+    tokens = texts.select(key, words(canonical(F.col("prepared"), view)).alias("tokens"))
     hashed = tokens.select(key, window_hashes(F.col("tokens"), width).alias("hashes"))
     # The outer form: for the inner one, Spark infers a filter on the array and moves it below
     # the projections, where the words would be cut anew for every window.
     return hashed.select(key, F.posexplode_outer("hashes").alias("place", "window")).filter("window is not null")
 
 
+def _document_windows(docs: DataFrame, width: int) -> list[DataFrame]:
+    """The windows of all views, those of views that read a text alike only once: ``views`` is the
+    list of views that a row stands for."""
+    changes = {NUMBERS: F.col("prepared").contains(POINT), NAMES: F.col("prepared").rlike(f"[{NAME}{JOIN}]"), CAPITALS: F.col("prepared").contains(MAYBE)}
+    parts = []
+    for view in VIEWS:
+        own = docs.filter(changes[view]) if view else docs
+        same, alike = F.lit(True), [F.lit(view)]
+        for later in range(view + 1, len(VIEWS)):
+            same = same & ~changes[later]
+            alike.append(F.when(same, F.lit(later)))
+        own = own.select(F.struct("doc_id", F.array_compact(F.array(*alike)).alias("views")).alias("key"), "prepared")
+        parts.append(_windows(own, "key", width, view).select("key.doc_id", "key.views", "place", "window"))
+    return parts
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(_union(parts[1:]))
+
+
+def _item_windows(items: DataFrame, width: int, view: int) -> DataFrame:
+    """item_id, item_place, window, and ``plain``, the place of the window's first word in the plain view."""
+    cut = items.select("item_id", words(folded(F.col("prepared"), view)).alias("parts"), "prepared")
+    key = F.struct("item_id", F.transform("parts", lambda w: F.length(w) - F.length(F.translate(w, JOIN + POINT, "")) + 1).alias("n"))
+    met = _windows(cut.select(key.alias("key"), "prepared"), "key", width, view)
+    before = F.aggregate(F.slice("key.n", F.lit(1), F.col("place")), F.lit(0), lambda total, n: total + n)
+    return met.select("key.item_id", F.col("place").alias("item_place"), "window", before.alias("plain")).distinct()
+
+
 def matches(docs: DataFrame, items: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, item_id, width, place, item_place) where canonical windows are equal, and
-    (item_id, width, item_windows). ``docs`` and ``items`` have a column ``prepared``.
+    """(doc_id, item_id, view, width, place, item_place, plain) where canonical windows are equal, and
+    (item_id, view, width, item_windows). ``docs`` and ``items`` have a column ``prepared``.
 
     Items of fewer words than the window are matched by one window of their length.
     """
-    lengths = items.select(
-        "*", F.least(F.lit(window), F.size(words(canonical(F.col("prepared"), False)))).alias("width")
-    ).filter("width > 0")
-    lengths = materialize(lengths, "items")
-    widths = [row[0] for row in lengths.select("width").distinct().collect()]  # at most ``window`` numbers
+    lengths = [
+        items.select("*", F.lit(view).alias("view"), F.least(F.lit(window), F.size(words(canonical(F.col("prepared"), view)))).alias("width"))
+        for view in VIEWS
+    ]
+    lengths = materialize(_union(lengths).filter("width > 0"), "items")
+    widths: dict[int, list[int]] = {}  # at most ``window`` numbers, each with at most four views
+    for width, view in sorted(lengths.select("width", "view").distinct().collect()):
+        widths.setdefault(width, []).append(view)
     found, sizes = [], []
-    for width in widths:
+    for width, views in widths.items():
         own = lengths.filter(F.col("width") == width)
-        for names in (False, True):
-            known = _windows(own, "item_id", width, names).withColumnRenamed("place", "item_place").distinct()
-            known = materialize(known, "windows")
-            if not names:
-                sizes.append(known.groupBy("item_id").agg(F.count("*").alias("item_windows")).withColumn("width", F.lit(width)))
-            known = broadcast_if_small(known, known.count(), 64)
-            met = _windows(docs, "doc_id", width, names).join(known, "window")
-            found.append(met.select("doc_id", "item_id", F.lit(width).alias("width"), "place", "item_place"))
-    union = lambda parts: parts[0] if len(parts) == 1 else parts[0].unionByName(union(parts[1:]))
+        known = [_item_windows(own.filter(F.col("view") == view), width, view).withColumn("view", F.lit(view)) for view in views]
+        known = materialize(_union(known), "windows")
+        sizes.append(known.groupBy("item_id", "view").agg(F.countDistinct("item_place").alias("item_windows")).withColumn("width", F.lit(width)))
+        known = broadcast_if_small(known, known.count(), 64)
+        for part in _document_windows(docs, width):
+            met = part.join(known, "window").filter(F.array_contains("views", F.col("view")))
+            found.append(met.select("doc_id", "item_id", "view", F.lit(width).alias("width"), "place", "item_place", "plain"))
     if not found:
-        empty = "doc_id bigint, item_id bigint, width int, place int, item_place int"
-        return docs.sparkSession.createDataFrame([], empty), docs.sparkSession.createDataFrame([], "item_id bigint, item_windows bigint, width int")
-    return union(found).distinct(), union(sizes)
+        empty = "doc_id bigint, item_id bigint, view int, width int, place int, item_place int, plain int"
+        return docs.sparkSession.createDataFrame([], empty), docs.sparkSession.createDataFrame([], "item_id bigint, view int, item_windows bigint, width int")
+    return _union(found).distinct(), _union(sizes)
 
 
 def _values(texts: DataFrame, key: str, found: DataFrame, place: str, value: str) -> DataFrame:
-    """The found rows with the prepared words of their window."""
-    tokens = texts.select(key, words(F.col("prepared")).alias("tokens"))
-    return found.join(tokens, key).withColumn(value, F.slice("tokens", F.col(place) + 1, F.col("width"))).drop("tokens")
+    """The found rows with the folded words of their window."""
+    views = F.array(*[F.struct(F.lit(view).alias("view"), words(folded(F.col("prepared"), view)).alias("tokens")) for view in VIEWS])
+    tokens = texts.select(key, F.explode(views).alias("read")).select(key, "read.view", "read.tokens")
+    return found.join(tokens, [key, "view"]).withColumn(value, F.slice("tokens", F.col(place) + 1, F.col("width"))).drop("tokens")
 
 
 def consistent(found: DataFrame, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The found rows without those of alignments where a slot value of the item stands for
-    two values of the document. An alignment is a document, an item and a shift."""
+    """The found rows without those that hold only by inconsistent placeholders.
+
+    An alignment is a document, an item, a view and a shift. Where a slot value of the item stands for
+    two values of the document in it, its windows go.
+    """
     slots = found.filter("slots")
-    alignment = ["doc_id", "item_id", "width", F.expr("place - item_place").alias("shift")]
+    group = ["doc_id", "item_id", "view", "width", "shift"]
     ids = materialize(slots.select("doc_id").distinct(), "slot-docs")
     near = docs.join(broadcast_if_small(ids, ids.count(), 32), "doc_id", "left_semi")
     both = _values(items, "item_id", _values(near, "doc_id", slots, "place", "doc_words"), "item_place", "item_words")
-    pairs = both.select(*alignment, F.explode(F.arrays_zip("item_words", "doc_words")).alias("pair"))
-    typed = pairs.filter(F.col("pair.item_words").rlike(f"^[{NAME}{UNIT}]|\\p{{N}}"))
+    both = both.select(
+        *group[:4], F.expr("place - item_place").alias("shift"), "place", "item_place",
+        F.transform("item_words", lambda w: w.rlike(f"^[{NAME}{UNIT}]|\\p{{N}}")).alias("typed"),
+        "item_words", "doc_words",
+    )
+    both = materialize(both, "slot-windows")
+    pairs = both.select(*group, F.explode(F.arrays_zip("typed", "item_words", "doc_words")).alias("pair")).filter("pair.typed")
     clashing = (
-        typed.groupBy("doc_id", "item_id", "width", "shift", "pair.item_words")
-        .agg(F.countDistinct("pair.doc_words").alias("values")).filter("values > 1")
-        .select("doc_id", "item_id", "width", "shift").distinct()
+        pairs.groupBy(*group, "pair.item_words").agg(F.countDistinct("pair.doc_words").alias("values")).filter("values > 1")
+        .groupBy(*group).agg(F.collect_set("item_words").alias("clash"))
     )
-    keyed = found.withColumn("shift", F.expr("place - item_place"))
-    return keyed.join(clashing, ["doc_id", "item_id", "width", "shift"], "left_anti").drop("shift")
+    rejected = both.join(clashing, group).withColumn("bad", F.lit(True))
+    key = [*group[:4], "place", "item_place"]
+    rejected = rejected.groupBy(*key).agg(F.min("bad").alias("bad")).filter("bad").select(*key)
+    return found.join(rejected, key, "left_anti")
 
 
 def contaminated(
@@ -139,14 +196,19 @@ def contaminated(
     items = items.select(F.col("doc_id").alias("item_id"), prepared(F.col("text")).alias("prepared"))
     items = materialize(items.distinct(), "benchmark")
     found, sizes = matches(whole, items, window)
-    templated = items.select("item_id", F.col("prepared").rlike(f"[{NAME}{UNIT}]|\\p{{N}}").alias("slots"))
+    templated = items.select("item_id", F.col("prepared").rlike(f"[{NAME}{MAYBE}{UNIT}]|\\p{{N}}").alias("slots"))
     templated = templated.groupBy("item_id").agg(F.max("slots").alias("slots"))
     found = materialize(found.join(templated, "item_id"), "matches")
     if not found.filter("slots").isEmpty():
         found = consistent(found, whole, items)
-    counted = found.groupBy("doc_id", "item_id", "width").agg(F.countDistinct("item_place").alias("matched_windows"))
+    # By the windows of each view, and by the plain windows at whose first word any view has one.
+    counted = found.groupBy("doc_id", "item_id", "view", "width").agg(F.countDistinct("item_place").alias("matched_windows"))
+    plain = sizes.filter(F.col("view") == PLAIN).drop("view", "width")
+    starts = found.join(plain, "item_id").filter("plain < item_windows")
+    together = starts.groupBy("doc_id", "item_id", "item_windows").agg(F.countDistinct("plain").alias("matched_windows"))
+    either = counted.join(sizes, ["item_id", "view", "width"]).select("doc_id", "item_id", "matched_windows", "item_windows")
     return (
-        counted.join(sizes, ["item_id", "width"])
+        either.unionByName(together)
         .filter(100 * F.col("matched_windows") >= percent * F.col("item_windows"))
         .groupBy("doc_id", "item_id")
         .agg(F.max("matched_windows").alias("matched_windows"), F.max("item_windows").alias("item_windows"))
