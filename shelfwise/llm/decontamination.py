@@ -70,6 +70,11 @@ def canonical(text: Column, view: int) -> Column:
     return F.when(text.rlike("\\p{N}"), F.regexp_replace(text, f"\\p{{N}}+(?:{POINT}\\p{{N}}+)*", "0")).otherwise(text)
 
 
+def bare(words: Column) -> Column:
+    """Words as they were, without marks."""
+    return F.transform(words, lambda w: F.translate(w, JOIN + POINT + NAME + UNIT, "  "))
+
+
 def window_hashes(tokens: Column, width: int) -> Column:
     return F.when(
         F.size(tokens) >= width,
@@ -156,7 +161,8 @@ def consistent(found: DataFrame, docs: DataFrame, items: DataFrame) -> DataFrame
     """The found rows without those that hold only by inconsistent placeholders.
 
     An alignment is a document, an item, a view and a shift. Where a slot value of the item stands for
-    two values of the document in it, its windows go.
+    two values of the document in it, its windows with changed values go, and of those that are
+    equal word by word the ones that hold such a slot. Values are compared without marks.
     """
     slots = found.filter("slots")
     group = ["doc_id", "item_id", "view", "width", "shift"]
@@ -166,7 +172,7 @@ def consistent(found: DataFrame, docs: DataFrame, items: DataFrame) -> DataFrame
     both = both.select(
         *group[:4], F.expr("place - item_place").alias("shift"), "place", "item_place",
         F.transform("item_words", lambda w: w.rlike(f"^[{NAME}{UNIT}]|\\p{{N}}")).alias("typed"),
-        "item_words", "doc_words",
+        bare(F.col("item_words")).alias("item_words"), bare(F.col("doc_words")).alias("doc_words"),
     )
     both = materialize(both, "slot-windows")
     pairs = both.select(*group, F.explode(F.arrays_zip("typed", "item_words", "doc_words")).alias("pair")).filter("pair.typed")
@@ -174,8 +180,10 @@ def consistent(found: DataFrame, docs: DataFrame, items: DataFrame) -> DataFrame
         pairs.groupBy(*group, "pair.item_words").agg(F.countDistinct("pair.doc_words").alias("values")).filter("values > 1")
         .groupBy(*group).agg(F.collect_set("item_words").alias("clash"))
     )
-    rejected = both.join(clashing, group).withColumn("bad", F.lit(True))
+    held = F.exists(F.arrays_zip("typed", "item_words"), lambda x: x["typed"] & F.array_contains("clash", x["item_words"]))
+    rejected = both.join(clashing, group).withColumn("bad", held | (F.col("item_words") != F.col("doc_words")))
     key = [*group[:4], "place", "item_place"]
+    # Texts that repeat an id: one reading that holds is enough.
     rejected = rejected.groupBy(*key).agg(F.min("bad").alias("bad")).filter("bad").select(*key)
     return found.join(rejected, key, "left_anti")
 

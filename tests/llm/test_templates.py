@@ -8,6 +8,8 @@ from shelfwise.llm import decontamination
 
 TOM = "Tom has 5 apples. Tom gives 3 to Mary. Mary eats 2 of them. Tom is sad. How many has Tom left now?"
 SHOP = "The shop of Mary Ann sold 1,200 pens at 3.50 dollars each to her friend John and 40 books to a school"
+CITY = "the road from Paris to the old harbour town leads over 14 hills and it ends behind the gates of Paris again"
+MANY = "first box holds 12 pens and " + " ".join(f"word{chr(97 + i)}" for i in range(20)) + " second box holds 12 pens"
 
 
 def found(spark, item, doc):
@@ -28,3 +30,16 @@ def test_changed_slots_are_found(spark, item, doc):
 
 def test_other_question_is_not_found(spark):
     assert not found(spark, TOM, "Tom has 5 pears. He sold 3 of them. How many are left now? Mary went away with all of it.")
+
+
+@pytest.mark.parametrize("doc", [
+    CITY.replace("from Paris", "from\nParis"),
+    CITY.replace("of Paris", "of (Paris)"),
+])
+def test_marks_are_no_values(spark, doc):
+    assert found(spark, CITY, doc)
+
+
+def test_exact_windows_outlive_a_clash(spark):
+    """20 of the 31 words lie between both slots; one of two equal numbers is changed."""
+    assert found(spark, MANY, MANY.replace("12", "13", 1))
