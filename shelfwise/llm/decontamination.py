@@ -39,10 +39,9 @@ def prepared(text: Column) -> Column:
     marked = F.regexp_replace(text, "(?<![\\p{L}\\p{N}])(?=\\p{Lu}\\p{Ll})", MAYBE)
     marked = F.regexp_replace(marked, f"(?<=[\\p{{L}}\\p{{N}},;] ){MAYBE}", NAME)
     marked = F.regexp_replace(marked, f"([{NAME}{MAYBE}][\\p{{L}}\\p{{N}}]+)[\\s'’-]{{1,3}}(?=[{NAME}{MAYBE}])", f"$1{JOIN}")
-    text = F.lower(F.when(text.rlike("\\p{Lu}\\p{Ll}"), marked).otherwise(text))
     units = f"(?<=[0-9]) ?(?=(?:{'|'.join(UNITS.split())})(?![\\p{{L}}\\p{{N}}]))"
-    numbers = F.regexp_replace(text, "(?<=\\p{N})[.,'’:/](?=\\p{N})", POINT)
-    return F.when(text.rlike("\\p{N}"), F.regexp_replace(numbers, units, f" {UNIT}")).otherwise(text)
+    numbers = F.regexp_replace(F.lower(marked), "(?<=\\p{N})[.,'’:/](?=\\p{N})", POINT)
+    return F.regexp_replace(numbers, units, f" {UNIT}")
 
 
 def words(text: Column) -> Column:
@@ -56,18 +55,18 @@ def folded(text: Column, view: int) -> Column:
     if view == NUMBERS:
         return F.translate(text, JOIN + NAME + MAYBE, " ")
     if view == NAMES:
-        single = F.regexp_replace(text, f"{JOIN}?{MAYBE}([\\p{{L}}\\p{{N}}]+){JOIN}?", " $1 ")
-        return F.when(text.contains(MAYBE), single).otherwise(text)
+        return F.regexp_replace(text, f"{JOIN}?{MAYBE}([\\p{{L}}\\p{{N}}]+){JOIN}?", " $1 ")
     return F.translate(text, MAYBE, NAME)
 
 
 def canonical(text: Column, view: int) -> Column:
     """A prepared text with the placeholders of the view, one for each word of the folded text."""
+    # Without conditions on the text: each would evaluate what stands before it again.
     text = folded(text, view)
     if view in (NAMES, CAPITALS):
-        text = F.when(text.contains(NAME), F.regexp_replace(text, f"{NAME}[\\p{{L}}\\p{{N}}{NAME}{JOIN}]+", NAME)).otherwise(text)
-    text = F.when(text.contains(UNIT), F.regexp_replace(text, f"{UNIT}\\p{{L}}+", UNIT)).otherwise(text)
-    return F.when(text.rlike("\\p{N}"), F.regexp_replace(text, f"\\p{{N}}+(?:{POINT}\\p{{N}}+)*", "0")).otherwise(text)
+        text = F.regexp_replace(text, f"{NAME}[\\p{{L}}\\p{{N}}{NAME}{JOIN}]+", NAME)
+    text = F.regexp_replace(text, f"{UNIT}\\p{{L}}+", UNIT)
+    return F.regexp_replace(text, f"\\p{{N}}+(?:{POINT}\\p{{N}}+)*", "0")
 
 
 def bare(words: Column) -> Column:
@@ -200,6 +199,7 @@ def contaminated(
     """
     whole = id_and_text(docs, id_column, text).filter("doc_id is not null and text <> ''")
     whole = whole.select("doc_id", prepared(F.col("text")).alias("prepared"))
+    whole = materialize(whole, "prepared")
     items = id_and_text(benchmark, item_column, text).filter("doc_id is not null")
     items = items.select(F.col("doc_id").alias("item_id"), prepared(F.col("text")).alias("prepared"))
     items = materialize(items.distinct(), "benchmark")
