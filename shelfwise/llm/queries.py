@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfwise.llm import decontamination, kneser_ney, minhash, packing, pages, pii, quality, secrets, tokens, toxicity
+from shelfwise.llm import (
+    byte_pairs, decontamination, divergence, kneser_ney, minhash, packing, pages, pii, quality, secrets, spelling, tokens, toxicity,
+)
 from shelfwise.llm.common import held_out, read, vocabulary
 
 
@@ -66,11 +68,27 @@ def op10_circulant_minhash(spark: SparkSession, base: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, base, "documents"))
 
 
+def op11_distinct_word_bpe(spark: SparkSession, base: str) -> DataFrame:
+    import public_tokenizers
+
+    path = vocabulary("byte_bpe_50k.tiktoken")
+    encoded = byte_pairs.encode(read(spark, base, "documents"), path, public_tokenizers.PATTERN)
+    return byte_pairs.round_trip(encoded, path)
+
+
+def op12_source_divergence(spark: SparkSession, base: str) -> DataFrame:
+    return divergence.audit(read(spark, base, "documents"))
+
+
+def op13_spelling_tiles(spark: SparkSession, base: str) -> DataFrame:
+    return spelling.variants(read(spark, base, "documents"))
+
+
 def queries() -> dict:
     own = {name: query for name, query in globals().items() if name.startswith("op")}
     return own | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    """None: the methods are not SQL; tests hold the results against brute force."""
-    return {}
+    """Where SQL can express the result; tests hold the others against brute force."""
+    return {"op12_source_divergence": divergence.SQL, "op13_spelling_tiles": spelling.SQL}
