@@ -30,12 +30,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from shelfwise.llm.common import id_and_text
 from shelfwise.sources.tables import materialize
 
 #: Bytes of text in a block, beyond which the next text starts another; a longer text stands alone.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 32 << 20
 #: Words, counted once a block, that one task encodes.
 SHARD_WORDS = 400_000
 #: Words of more bytes are merged with a heap, in time n log n.
@@ -133,10 +134,10 @@ def _merge_long(word: bytes, known: dict[bytes, int]) -> list[int]:
     return [known[word[i : end[i]]] for i in range(n) if alive[i]]
 
 
-def _packed(values: np.ndarray) -> bytes:
+def _packed(values: np.ndarray, level: int = 3) -> bytes:
     """Numbers below 2**32 byte plane by byte plane, compressed."""
     planes = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.compress(planes.tobytes(), 3)
+    return zstandard.compress(planes.tobytes(), level)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
@@ -156,20 +157,27 @@ def _unpacked_words(lengths: bytes, data: bytes) -> pa.BinaryArray:
     return pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, buffers)
 
 
+def _places(order: np.ndarray) -> np.ndarray:
+    """The place of every entry in an order."""
+    places = np.empty(len(order), np.int64)
+    places[order] = np.arange(len(order))
+    return places
+
+
 def _blocks(pattern: str, ids: pa.DataType) -> Callable:
     def block(number: int, doc_ids: list, sizes: list, codes: array, words: dict) -> pa.RecordBatch:
         found = np.frombuffer(codes, np.uint32) if codes else np.zeros(0, np.uint32)
         counts = np.bincount(found, minlength=len(words))
-        order = np.argsort(-counts, kind="stable")  # frequent words get small codes
-        code = np.empty(len(words), np.uint32)
-        code[order] = np.arange(len(words))
-        listed = pa.array([word.encode() for word in words], pa.binary()).take(pa.array(order))
-        lengths, data = _packed_words(listed)
+        listed = pa.array([word.encode() for word in words], pa.binary())
+        # Frequent words get small codes, and of equally frequent ones neighbours are alike: both compress well.
+        order = np.lexsort((_places(pc.sort_indices(listed).to_numpy()), -counts))
+        code = _places(order).astype(np.uint32)
+        lengths, data = _packed_words(listed.take(pa.array(order)))
         return pa.record_batch({
             "block": pa.array([f"{TaskContext.get().partitionId()}-{number}"]),
             "doc_ids": pa.array([doc_ids], pa.list_(ids)),
             "sizes": [_packed(np.array(sizes))],
-            "codes": [_packed(code[found])],
+            "codes": [_packed(code[found], 9)],
             "words": pa.array([len(words)], pa.int64()),
             "lengths": [lengths],
             "bytes": [data],
@@ -247,7 +255,7 @@ def _encoded_words(path: str) -> Callable:
 
 
 def _assembled(block: pa.Table, found: pa.Table) -> pa.Table:
-    """The texts of a block with the ids of their words at the words' positions."""
+    """The texts of a block with the ids of their words at the words' positions: doc_id, ids."""
     row = block.to_pylist()[0]
     counts = np.zeros(row["words"], np.int64)
     codes, values = [], []
@@ -270,17 +278,14 @@ def _assembled(block: pa.Table, found: pa.Table) -> pa.Table:
     return pa.table({"doc_id": block["doc_ids"].combine_chunks().flatten(), "ids": ids})
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Columns ``doc_id`` and ``ids`` (array of int), one row per row of ``docs``.
-
-    ``path`` names a file of ranks that workers can read; ``pattern`` gives the pre-tokens.
-    """
+def _texts(docs: DataFrame, path: str, pattern: str, finish: Callable[[pa.Table], pa.Table], *fields: T.StructField) -> DataFrame:
+    """What ``finish`` makes of each block's texts (doc_id, ids), with the columns doc_id and ``fields``."""
     docs = id_and_text(docs)
-    id_type = docs.schema["doc_id"].dataType
-    id_name = id_type.simpleString()
+    id_field = docs.schema["doc_id"]
+    id_name = id_field.dataType.simpleString()
     blocks = materialize(
         docs.mapInArrow(
-            _blocks(pattern, _arrow_type(id_type)),
+            _blocks(pattern, to_arrow_type(id_field.dataType)),
             f"block string, doc_ids array<{id_name}>, sizes binary, codes binary, words bigint, lengths binary, bytes binary",
         ),
         "word-blocks",
@@ -293,17 +298,18 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         .groupBy("shard")
         .applyInArrow(_encoded_words(path), "block string, gaps binary, counts binary, ids binary")
     )
-    texts = blocks.select("block", "doc_ids", "sizes", "codes", "words")
-    return (
-        texts.groupBy("block").cogroup(found.groupBy("block"))
-        .applyInArrow(_assembled, T.StructType([T.StructField("doc_id", id_type), T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    texts = blocks.select("block", "doc_ids", "sizes", "codes", "words").groupBy("block")
+    return texts.cogroup(found.groupBy("block")).applyInArrow(
+        lambda block, words: finish(_assembled(block, words)), T.StructType([T.StructField("doc_id", id_field.dataType), *fields])
     )
 
 
-def _arrow_type(kind: T.DataType) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
+def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """Columns ``doc_id`` and ``ids`` (array of int), one row per row of ``docs``.
 
-    return to_arrow_type(kind)
+    ``path`` names a file of ranks that workers can read; ``pattern`` gives the pre-tokens.
+    """
+    return _texts(docs, path, pattern, lambda table: table, T.StructField("ids", T.ArrayType(T.IntegerType())))
 
 
 def joined_bytes(ids: pa.Array, table: pa.LargeBinaryArray) -> bytes:
@@ -338,20 +344,21 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
-def round_trip(encoded: DataFrame, path: str) -> DataFrame:
-    """Per row of ``encoded`` the number and digest of its ids and the digest of the decoded bytes:
-    doc_id, n_tokens, ids_sha256 (of little-endian unsigned 32-bit ids), decoded_sha256."""
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """Per row of ``docs`` the number and digest of its ids, and the digest of the bytes that they decode to:
+    doc_id, n_tokens, ids_sha256 (of little-endian unsigned 32-bit ids), decoded_sha256.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, decoded = batch.column("ids"), batch.column("decoded")
-            yield pa.record_batch({
-                "doc_id": batch.column("doc_id"),
-                "n_tokens": pc.cast(pc.list_value_length(ids), pa.int64()),
-                "ids_sha256": [hashlib.sha256(row.values.to_numpy().astype("<u4").tobytes()).hexdigest() for row in ids],
-                "decoded_sha256": [hashlib.sha256(row.as_buffer()).hexdigest() for row in decoded],
-            })
-
-    decoded = decode(encoded, path)
-    fields = [T.StructField("n_tokens", T.LongType()), *(T.StructField(n, T.StringType()) for n in ("ids_sha256", "decoded_sha256"))]
-    return decoded.mapInArrow(run, T.StructType([decoded.schema["doc_id"], *fields]))
+    As ``decode`` of ``encode``, but ids do not leave the task that puts them together.
+    """
+
+    def digests(texts: pa.Table) -> pa.Table:
+        table, ids = token_bytes(path), texts["ids"].combine_chunks()
+        return pa.table({
+            "doc_id": texts["doc_id"],
+            "n_tokens": pc.cast(pc.list_value_length(ids), pa.int64()),
+            "ids_sha256": pa.array([hashlib.sha256(row.values.to_numpy().astype("<u4").tobytes()).hexdigest() for row in ids], pa.string()),
+            "decoded_sha256": pa.array([hashlib.sha256(joined_bytes(row.values, table)).hexdigest() for row in ids], pa.string()),
+        })
+
+    digest = [T.StructField(name, T.StringType()) for name in ("ids_sha256", "decoded_sha256")]
+    return _texts(docs, path, pattern, digests, T.StructField("n_tokens", T.LongType()), *digest)

@@ -72,8 +72,7 @@ def op11_distinct_word_bpe(spark: SparkSession, base: str) -> DataFrame:
     import public_tokenizers
 
     path = vocabulary("byte_bpe_50k.tiktoken")
-    encoded = byte_pairs.encode(read(spark, base, "documents"), path, public_tokenizers.PATTERN)
-    return byte_pairs.round_trip(encoded, path)
+    return byte_pairs.round_trip(read(spark, base, "documents"), path, public_tokenizers.PATTERN)
 
 
 def op12_source_divergence(spark: SparkSession, base: str) -> DataFrame:
