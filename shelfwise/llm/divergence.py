@@ -35,7 +35,7 @@ TOP_TERMS = 50
 #: Bytes of text that are counted at a time, and rows of partial counts held by a task.
 SLICE_BYTES, HELD_ROWS = 16 << 20, 1_000_000
 #: Cells of one dense shard, and sources in one of its blocks.
-CELLS, SOURCES = 1 << 21, 1024
+CELLS, SOURCES = 1 << 17, 1024
 
 COUNTS = "lang string, source string, term string, n bigint, docs bigint"
 GROUP = ["lang", "source"]
