@@ -32,11 +32,41 @@ def rating_messages(lines: DataFrame, prefix: str = settings.LOG_PREFIX) -> Data
 
 def rating_events(messages: DataFrame, strict: bool = True) -> DataFrame:
     """Bar-separated messages as ratings; a bad one fails the job or, when not strict,
-    is left out."""
+    is left out. ``sorted_messages`` keeps bad ones with the reason."""
     parsed = messages.select(*rating_columns(F.col("value"), "|", strict))
     return parsed if strict else parsed.dropna()
 
 
+def sorted_messages(messages: DataFrame) -> DataFrame:
+    """Messages as ratings with two columns more: of a bad message ``line``, its text, and
+    ``reason``, the first field that cannot be read, with all fields null."""
+    parsed = messages.select("value", *rating_columns(F.col("value"), "|", strict=False))
+    reason = F.lit(None).cast("string")
+    for column in reversed(schemas.RATING.fields):
+        said = F.lit(f"{column.name} is not a valid {column.dataType.simpleString()}")
+        reason = F.when(F.col(column.name).isNull(), said).otherwise(reason)
+    parsed = parsed.withColumn("reason", reason)
+    good = F.col("reason").isNull()
+    fields = [F.when(good, F.col(name)).alias(name) for name in schemas.RATING.names]
+    return parsed.select(*fields, F.when(~good, F.col("value")).alias("line"), "reason")
+
+
+def route_messages(good_path: str, bad_path: str, run: int = 1) -> Callable[[DataFrame, int], None]:
+    """The action on each micro-batch of ``sorted_messages``: ratings to one table, bad lines
+    with their reason to another. Both are tables of batches, so a replay writes both again to
+    the same folders and adds nothing."""
+
+    def route(rows: DataFrame, batch: int) -> None:
+        rows = rows.persist()
+        try:
+            batches.write_batch(rows.filter("reason is null").select(*schemas.RATING.names), good_path, batch, run)
+            batches.write_batch(rows.filter("reason is not null").select("line", "reason"), bad_path, batch, run)
+        finally:
+            rows.unpersist()
+
+    return route
+
+
 def update_lists(
     history: DataFrame, ranked: DataFrame, history_path: str, lists_path: str,
     report: Callable[[int, int], None] | None = None, run: int = 1, **parameters,
@@ -46,6 +76,7 @@ def update_lists(
     ``report`` gets the batch number and how many users were skipped, because their
     newest event is on a product without a similarity list. ``run`` numbers the checkpoint;
     a job that starts with a new one over kept tables takes ``batches.next_run``.
+    Each micro-batch reads the whole history; ``streaming.lists`` has the job that does not.
     """
 
     def update(events: DataFrame, batch: int) -> None:
@@ -55,10 +86,11 @@ def update_lists(
         arrived = arrived.filter((F.col("run") < run) | (F.col("batch") <= batch))
         known = history.unionByName(arrived.drop("run", "batch"))
         mine = arrived.filter((F.col("run") == run) & (F.col("batch") == batch)).drop("run", "batch")
-        lists = online.recommend(mine, known, ranked, **parameters)
+        counts: dict[str, int] = {}
+        lists = online.recommend(mine, known, ranked, counts=counts, **parameters)
         batches.write_batch(lists, lists_path, batch, run)
         if report:
-            report(batch, online.skipped_events(online.newest_events(mine), ranked).count())
+            report(batch, counts["skipped"])
 
     return update
 
