@@ -67,3 +67,29 @@ def list_pairs(lists: DataFrame) -> DataFrame:
         F.col("rec.score").alias("score"),
     )
     return schemas.conform(flat, schemas.PAIR, strict=False)
+
+
+def write_bucketed(
+    df: DataFrame, table: str, path: str, key: str, buckets: int, format: str = "parquet"
+) -> DataFrame:
+    """Store a table in hash buckets of its lookup column, sorted inside, and read it back.
+
+    The catalog knows the layout: joins and aggregations by ``key`` need no exchange of this table, and
+    two tables with the same key and number of buckets meet bucket by bucket. Rows are dealt to their buckets
+    before they are written, so each bucket is one file unless it is very large. Readers in another session use
+    ``spark.table(table)`` where the catalog is shared. An existing table of the name is replaced.
+    """
+    spark = df.sparkSession
+    dealt = df.repartition(buckets, key)
+    writer = dealt.write.format(format).bucketBy(buckets, key).sortBy(key).mode("overwrite")
+    writer.option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
+def use_buckets(spark: SparkSession, wide: bool = True) -> None:
+    """Whether joins by more columns than a bucketed table's key stay inside its buckets, too.
+
+    Off by default in Spark: a join by (product, other) then shuffles both sides by both columns, which
+    spreads a hot product but moves the whole table.
+    """
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", str(not wide).lower())
