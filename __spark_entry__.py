@@ -9,13 +9,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shelfwise import fixtures, schemas
+from shelfwise import fixtures, schemas, settings
 from shelfwise.functions import columns
 from shelfwise.operators.topn import merge_lists, rank_lists, to_lists, to_ranked, top_scores
 from shelfwise.plans import content, factors, itemcf, online, stats, tuning
 from shelfwise.session import fresh_path
 from shelfwise.sources import batches, streams, tables, text
+from shelfwise.sources.keyed import KeyedTable
+from shelfwise.streaming import lists as list_stream
 from shelfwise.streaming import ratings as rating_stream
 
 try:
@@ -27,6 +30,10 @@ except ModuleNotFoundError as missing:
 
 DIGITS = 6
 
+#: Ratings of before 1999 count as history where a stream follows; it arrives in two parts, the second
+#: from July 2000 on. Users with a rating since July 2001 are the ones looked up by key.
+STREAM_START, STREAM_SECOND, LOOKUP_SINCE = 915148800, 962409600, 993945600
+
 
 def entry(spark: SparkSession) -> DataFrame:
     """Item-based recommendations at sf0.001."""
@@ -89,6 +96,56 @@ def _upsert_user_recs(spark, base):
     return _rounded(batches.latest(batches.read_batches(spark, path, old.schema), "userId"))
 
 
+def _keyed_snapshot(spark, base):
+    """As ``upsert_user_recs``, replaced in place in hash buckets of the user."""
+    ratings = fixtures.ratings(spark, base)
+    kept = KeyedTable(spark, fresh_path(spark, "keyed"), T.StructType.fromDDL("userId int, score double"), "userId", 16)
+    old = ratings.groupBy("userId").agg(F.avg("score").alias("score"))
+    new = ratings.filter(F.col("timestamp") >= 978307200).groupBy("userId").agg(F.max("score").alias("score"))
+    for batch, rows in enumerate((old, new)):
+        kept.replace(tables.materialize(rows, "batch"), batch)
+    return _rounded(kept.snapshot())
+
+
+def _keyed_lookup(spark, base):
+    """All ratings of the users who rated lately, from a table that grew by three batches."""
+    ratings = tables.materialize(fixtures.ratings(spark, base), "ratings")
+    kept = KeyedTable(spark, fresh_path(spark, "keyed"), schemas.RATING, "userId", 16)
+    time = F.col("timestamp")
+    parts = (time < STREAM_START, (time >= STREAM_START) & (time < STREAM_SECOND), time >= STREAM_SECOND)
+    for batch, part in enumerate(parts):
+        kept.append(ratings.filter(part), batch)
+    return kept.lookup(ratings.filter(time >= LOOKUP_SINCE))
+
+
+def _ratings_with_counts_bucketed(spark, base):
+    path = fresh_path(spark, "bucketed")
+    name = f"ratings_by_product_{path.rsplit('-', 1)[1]}"
+    table = tables.write_bucketed(fixtures.ratings(spark, base), name, path, "productId", 16)
+    return itemcf.bucketed_ratings_with_counts(table)
+
+
+def _dead_letters(spark, base):
+    """Rating messages of which some are damaged, routed to two tables out of each micro-batch."""
+    source = fresh_path(spark, "damaged")
+    whole = fixtures.rating_text("|")
+    kind = F.col("productId") % 50
+    damaged = F.when(kind == 0, F.concat(F.lit("x"), whole)).when(kind == 1, F.concat_ws("|", "userId", "productId"))
+    fixtures.ratings(spark, base).select(damaged.otherwise(whole).alias("value")).write.text(source)
+    good, bad = fresh_path(spark, "good"), fresh_path(spark, "bad")
+    (
+        rating_stream.sorted_messages(streams.read_lines(spark, path=source))
+        .writeStream.foreachBatch(rating_stream.route_messages(good, bad))
+        .option("checkpointLocation", fresh_path(spark, "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    rows = batches.read_batches(spark, good, schemas.RATING)
+    dead = batches.read_batches(spark, bad, list_stream.DEAD)
+    return rows.unionByName(dead, allowMissingColumns=True).drop("run", "batch")
+
+
 def _messages_folder(spark, base):
     path = fresh_path(spark, "messages")
     fixtures.ratings(spark, base).select(fixtures.rating_text("|").alias("value")).write.text(path)
@@ -230,6 +287,14 @@ def _als_user_recs(spark, base):
     return to_ranked(recs, "userId")
 
 
+def _inner_product_top(spark, base):
+    """Vectors as users, and the same vectors at ten lengths as products."""
+    users = fixtures.vectors(spark, base)
+    length = (F.col("id") % 10 + 1) / 10
+    products = users.select("id", F.transform("vector", lambda x: x.cast("double") * length).alias("vector"))
+    return _rounded(to_ranked(factors.best_products(users, products), "userId"))
+
+
 def _als_item_factors(spark, base):
     return factors.item_factors(factors.fit(fixtures.ratings(spark, base)))
 
@@ -317,6 +382,21 @@ def _online_recs_stream(spark, base):
     return _flat_user_lists(batches.latest(stored, "userId"))
 
 
+def _online_recs_state(spark, base):
+    """Lists kept current from two parts of a stream, with a restart between them, over older history."""
+    ratings = tables.materialize(fixtures.ratings(spark, base), "ratings")
+    time, ranked = F.col("timestamp"), _ranked_sims(spark, base)
+    source, checkpoint = fresh_path(spark, "messages"), fresh_path(spark, "checkpoint")
+    kept = list_stream.OnlineTables(spark, fresh_path(spark, "online"), buckets=16)
+    for part in ((time >= STREAM_START) & (time < STREAM_SECOND), time >= STREAM_SECOND):
+        ratings.filter(part).select(fixtures.rating_text("|").alias("value")).write.mode("append").text(source)
+        list_stream.start_lists(
+            streams.read_lines(spark, path=source), ratings.filter(time < STREAM_START), ranked, kept, checkpoint,
+            available_now=True,
+        ).awaitTermination()
+    return _flat_user_lists(kept.lists.snapshot())
+
+
 def _on_ratings(plan: Callable[[DataFrame], DataFrame], *digits: str):
     def query(spark: SparkSession, base: str) -> DataFrame:
         result = plan(fixtures.ratings(spark, base))
@@ -354,6 +434,9 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_products": _scan_products,
         "table_round_trip": _table_round_trip,
         "upsert_user_recs": _upsert_user_recs,
+        "keyed_snapshot": _keyed_snapshot,
+        "keyed_lookup": _keyed_lookup,
+        "dead_letters": _dead_letters,
         "stream_ratings": _stream_ratings,
         "log_filter": _log_filter,
         "parse_events": _parse_events,
@@ -366,6 +449,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_n_per_key": _top_n_per_key,
         "merge_recs": _merge_recs,
         "ratings_with_counts": _on_ratings(itemcf.ratings_with_counts),
+        "ratings_with_counts_bucketed": _ratings_with_counts_bucketed,
         "co_rated_pairs": _on_ratings(itemcf.ordered_pairs),
         "cooccurrence": _on_ratings(itemcf.cooccurrence),
         "itemcf_similarity": _itemcf_similarity,
@@ -386,6 +470,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "als_predict": _als_predict,
         "als_user_recs": _als_user_recs,
+        "inner_product_top": _inner_product_top,
         "als_item_factors": _als_item_factors,
         "als_product_sims": _als_product_sims,
         "train_test_split": _train_test_split,
@@ -399,6 +484,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "online_scores": _online_scores,
         "online_recs": _online_recs,
         "online_recs_stream": _online_recs_stream,
+        "online_recs_state": _online_recs_state,
     }
 
 
@@ -449,6 +535,17 @@ _PARTS = {
     "current": """
         SELECT "userId", "productId" FROM recent
         WHERE rank = 1 AND "productId" IN (SELECT "productId" FROM sims)""",
+    "wanted": """
+        SELECT e."userId", e."productId", r."productId" AS "recProductId"
+        FROM current e JOIN recent r ON r."userId" = e."userId\"""",
+    "dots": """
+        SELECT w."productId", w."recProductId", sum(a.weight * b.weight) / (any_value(la.length) * any_value(lb.length)) AS score
+        FROM (SELECT DISTINCT "productId", "recProductId" FROM wanted WHERE "productId" <> "recProductId") w
+        JOIN tfidf a ON a."productId" = w."productId"
+        JOIN tfidf b ON b."productId" = w."recProductId" AND b.term = a.term
+        JOIN lengths la ON la."productId" = w."productId"
+        JOIN lengths lb ON lb."productId" = w."recProductId"
+        GROUP BY w."productId", w."recProductId\"""",
     "unrated": """
         SELECT e."userId", s."recProductId", s.score
         FROM current e JOIN sims s USING ("productId")
@@ -505,6 +602,16 @@ def _own_sql() -> dict[str, str]:
         f"""SELECT e."userId", t.rank, t."recProductId", round(t.score, 6) AS score
         FROM current e LEFT JOIN ({_top("scored", "userId", 20)}) t USING ("userId")""",
     )
+    upserted = _sql(
+        ["ratings"],
+        """SELECT "userId", round(coalesce(max(score) FILTER ("timestamp" >= 978307200),
+           avg(score)), 6) AS score FROM ratings GROUP BY "userId\"""",
+    )
+    with_counts = _sql(
+        ["ratings", "counts"],
+        """SELECT "userId", r."productId", score, "count"
+           FROM ratings r JOIN counts c ON r."productId" = c."productId\"""",
+    )
     return {
         "load_products": products,
         "load_ratings": ratings,
@@ -514,10 +621,21 @@ def _own_sql() -> dict[str, str]:
             ["ratings", "products"],
             'SELECT r.*, p.name FROM ratings r JOIN products p USING ("productId")',
         ),
-        "upsert_user_recs": _sql(
+        "upsert_user_recs": upserted,
+        "keyed_snapshot": upserted,
+        "keyed_lookup": _sql(
             ["ratings"],
-            """SELECT "userId", round(coalesce(max(score) FILTER ("timestamp" >= 978307200),
-               avg(score)), 6) AS score FROM ratings GROUP BY "userId\"""",
+            f"""SELECT * FROM ratings WHERE "userId" IN
+               (SELECT "userId" FROM ratings WHERE "timestamp" >= {LOOKUP_SINCE})""",
+        ),
+        "dead_letters": _sql(
+            ["ratings"],
+            """SELECT CASE WHEN kind > 1 THEN "userId" END AS "userId", CASE WHEN kind > 1 THEN "productId" END AS "productId",
+               CASE WHEN kind > 1 THEN score END AS score, CASE WHEN kind > 1 THEN "timestamp" END AS "timestamp",
+               CASE kind WHEN 0 THEN concat_ws('|', 'x' || "userId", "productId", score, "timestamp")
+                 WHEN 1 THEN concat_ws('|', "userId", "productId") END AS line,
+               CASE kind WHEN 0 THEN 'userId is not a valid int' WHEN 1 THEN 'score is not a valid double' END AS reason
+               FROM (SELECT *, "productId" % 50 AS kind FROM ratings)""",
         ),
         "stream_ratings": ratings,
         "log_filter": _sql(
@@ -562,11 +680,8 @@ def _own_sql() -> dict[str, str]:
                 UNION ALL SELECT "userId", "productId" AS "recProductId", score FROM recent)
                 GROUP BY ALL)''', "userId", 20)})""",
         ),
-        "ratings_with_counts": _sql(
-            ["ratings", "counts"],
-            """SELECT "userId", r."productId", score, "count"
-               FROM ratings r JOIN counts c ON r."productId" = c."productId\"""",
-        ),
+        "ratings_with_counts": with_counts,
+        "ratings_with_counts_bucketed": with_counts,
         "co_rated_pairs": _sql(cooc, "SELECT * FROM cooc"),
         "cooccurrence": _sql(cooc, "SELECT * FROM cooc WHERE product1 < product2"),
         "itemcf_similarity": _sql(
@@ -629,11 +744,9 @@ def _own_sql() -> dict[str, str]:
                FROM observed CROSS JOIN range(5) t(trial) GROUP BY trial ORDER BY rmse, trial LIMIT 1""",
         ),
         "pair_similarity": _sql(
-            _ONLINE,
-            """SELECT e."userId", e."productId", r."productId" AS "recProductId",
-                      round(coalesce(s.score, 0), 6) AS score
-               FROM current e JOIN recent r ON r."userId" = e."userId"
-               LEFT JOIN sims s ON s."productId" = e."productId" AND s."recProductId" = r."productId\"""",
+            [*_ONLINE, "wanted", "dots"],
+            """SELECT "userId", "productId", "recProductId", round(CASE WHEN score > 0.4 THEN score ELSE 0 END, 6) AS score
+               FROM wanted LEFT JOIN dots USING ("productId", "recProductId")""",
         ),
         "unrated_candidates": _sql(
             [*_ONLINE, "unrated"],
@@ -649,4 +762,18 @@ def _own_sql() -> dict[str, str]:
         ),
         "online_recs": online_recs,
         "online_recs_stream": online_recs,
+        "online_recs_state": f"""{online_recs}
+            WHERE e."userId" IN (SELECT "userId" FROM recent WHERE rank = 1 AND "timestamp" >= {STREAM_START})""",
+        "train_test_split": _sql(
+            ["ratings"],
+            f"""SELECT *, CASE WHEN CAST('0x' || substr(md5(concat_ws('|', "userId", "productId", score, "timestamp", {settings.SEED})), 1, 8)
+               AS BIGINT) % 100 < {settings.TRAIN_PERCENT} THEN 'train' ELSE 'test' END AS part FROM ratings""",
+        ),
+        "inner_product_top": """
+            WITH v AS (SELECT CAST(vec_id AS INTEGER) AS id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+            p AS (SELECT id, list_transform(x, lambda e: e * ((id % 10 + 1) / 10)) AS x FROM v),
+            scored AS (SELECT u.id AS "userId", p.id AS "recProductId", list_inner_product(u.x, p.x) AS score FROM v u, p),
+            ranked AS (SELECT *, row_number() OVER (PARTITION BY "userId"
+                ORDER BY floor(score * 1e9 + 0.5) DESC, "recProductId") AS rank FROM scored WHERE score > 0)
+            SELECT "userId", rank, "recProductId", round(score, 6) AS score FROM ranked WHERE rank <= 20""",
     }
