@@ -233,7 +233,7 @@ def _itemcf_similarity(spark, base):
 
 def _itemcf_recs(spark, base):
     ratings = fixtures.ratings(spark, base)
-    return _rounded(itemcf.with_empty_lists(ratings, itemcf.item_recs(ratings)))
+    return _rounded(itemcf.with_empty_lists(ratings, itemcf.packed_item_recs(ratings)))
 
 
 # Content similarity
