@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import pyarrow as pa
@@ -44,6 +46,28 @@ def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+_held: dict[object, object] = {}
+
+
+def held(key: object, build: Callable[[], object]) -> object:
+    """What a worker keeps from task to task, such as a cache: the object of the last key only. Workers
+    outlive a stage, and what one operator leaves behind would add up with what the next one needs."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = build()
+    return _held[key]
+
+
+def give_back() -> None:
+    """Return freed memory to the system, at the end of a task. Workers are kept for later stages, and the
+    allocators would keep what this one needed at its peak."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Record batches cut so that their texts hold about ``limit`` bytes; a longer
     text stands alone. This bounds what a worker has in hand at a time."""

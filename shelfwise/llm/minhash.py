@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import broadcast_if_small, id_and_text, slices
+from shelfwise.llm.common import broadcast_if_small, give_back, held, id_and_text, slices
 from shelfwise.llm.components import connected_components
 from shelfwise.operators.skew import hashed_chunk, triangle
 from shelfwise.operators.topn import top_n
@@ -71,16 +71,14 @@ class _WordHashes(dict):
         return value
 
 
-_hashes = _WordHashes()
-
-
 def shingle_set(text: str) -> np.ndarray:
     """Sorted distinct 64-bit hashes of five-word shingles; fewer words give one shingle of all."""
     # Of bytes, lower() and split() know the ASCII letters and the six ASCII white spaces only.
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    hashed = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    hashes = held("minhash", _WordHashes)
+    hashed = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     width = min(WORDS, len(words))
     count = len(words) - width + 1
     total = np.full(count, width, np.uint64)
@@ -142,6 +140,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], n_bands: int, rows: int) -> Itera
              pa.array(bands, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
             ["doc_id", "n_shingles", "set_key", "bands", "bits"],
         )
+    give_back()
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,6 +149,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "shingles"]
         )
+    give_back()
 
 
 def _distance(left: Column, right: Column) -> Column:
@@ -268,15 +268,15 @@ def block_links(near: tuple[np.ndarray, list], far: tuple[np.ndarray, list], sam
 def links_of_large(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): links that connect what is connected by pairs inside large buckets.
 
-    Overlapping large buckets form a cloud. A cloud is cut into chunks by volume, any two
+    Overlapping large buckets form a knot. A knot is cut into chunks by volume, any two
     chunks meet in one task, and of the links found there by full sets a spanning forest leaves it.
     """
     placed = mixed.filter(F.col("members") > SMALL_BUCKET)
     stars = placed.select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct()
-    clouds = connected_components(stars).select(F.col("id").alias("doc_id"), F.col("component").alias("cloud"))
-    described = clouds.join(placed.select("doc_id", "n_shingles").distinct(), "doc_id")
-    volume = described.groupBy("cloud").agg(F.sum("n_shingles").alias("volume"))
-    dealt = described.drop("n_shingles").join(volume, "cloud")
+    knots = connected_components(stars).select(F.col("id").alias("doc_id"), F.col("component").alias("knot"))
+    described = knots.join(placed.select("doc_id", "n_shingles").distinct(), "doc_id")
+    volume = described.groupBy("knot").agg(F.sum("n_shingles").alias("volume"))
+    dealt = described.drop("n_shingles").join(volume, "knot")
     chunks = F.ceil(F.col("volume") / BLOCK_SHINGLES)
     blocks = triangle(dealt, hashed_chunk(chunks, "doc_id"), chunks).drop("volume")
     filled = blocks.join(sets, "doc_id")
@@ -290,7 +290,7 @@ def links_of_large(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         found = block_links(*sides, key[1] == key[2], percent) if all(len(side[1]) for side in sides) else []
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return filled.groupBy("cloud", "lo", "hi").applyInPandas(link, "a bigint, b bigint")
+    return filled.groupBy("knot", "lo", "hi").applyInPandas(link, "a bigint, b bigint")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -310,7 +310,8 @@ def near_duplicates(
     """doc_id, n_shingles, component_id, kept for every row of ``docs``.
 
     Documents without a word, and rows without an id, are linked with nothing; the latter
-    have a null component and are kept. Repeated rows give repeated results. Further
+    have a null component and are kept. Repeated rows give repeated results. Rows that share an id
+    but not a text are one document: it is linked with whatever any of its texts is linked with. Further
     columns are not read. Ids must be whole numbers.
 
     Documents with equal sets become one class by a hash of the set. For every class its near
@@ -318,6 +319,34 @@ def near_duplicates(
     in small ones the pairs across components are verified, large ones are compared block by block.
     """
     plain = id_and_text(docs, id_column, text).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    digest = F.md5(F.col("text").cast("binary"))
+    texts = plain.filter("doc_id is not null").groupBy("doc_id").agg(F.min(digest).alias("low"), F.max(digest).alias("high"))
+    if texts.filter("low <> high").isEmpty():
+        return _of_single_texts(plain, percent)
+    return _of_several_texts(plain.withColumn("digest", digest), percent)
+
+
+def _of_several_texts(plain: DataFrame, percent: int) -> DataFrame:
+    """``near_duplicates`` where ids have several texts: every text gets a number of its own, and the
+    components that the texts of one document are in become one."""
+    texts = plain.filter("doc_id is not null").select("doc_id", "digest").distinct()
+    numbered = materialize(texts.withColumn("number", F.monotonically_increasing_id()), "numbered-texts")
+    rows = plain.join(numbered, ["doc_id", "digest"], "left").select(F.col("number").alias("doc_id"), "text")
+    found = materialize(_of_single_texts(rows, percent), "text-components")
+    held = found.withColumnRenamed("doc_id", "number").drop("kept").join(numbered.drop("digest"), "number", "left")
+    least = held.filter("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("a"))
+    links = held.join(least, "doc_id").select("a", F.col("component_id").alias("b")).filter("a <> b").distinct()
+    joined = connected_components(links).select(F.col("id").alias("component_id"), F.col("component").alias("joined"))
+    held = held.join(joined, "component_id", "left").withColumn("joined", F.coalesce("joined", "component_id"))
+    names = held.groupBy("joined").agg(F.min("doc_id").alias("name"))
+    return held.join(names, "joined", "left").select(
+        "doc_id", "n_shingles", F.col("name").alias("component_id"),
+        F.coalesce(F.col("doc_id") == F.col("name"), F.lit(True)).alias("kept"),
+    )
+
+
+def _of_single_texts(plain: DataFrame, percent: int) -> DataFrame:
+    """``near_duplicates`` of rows (doc_id, text) where equal ids have equal texts."""
     bands, rows = banding(percent)
     sketched = materialize(
         plain.mapInArrow(

@@ -53,7 +53,7 @@ def test_groups_of_documents(spark, base, texts):
 
 
 @pytest.fixture
-def cloud():
+def knot():
     """Copies of copies, each with a few other words, beside exact copies and short texts."""
     rng = random.Random(5)
     word = lambda: f"w{rng.randint(0, 10**6)}"
@@ -68,12 +68,12 @@ def cloud():
 
 
 @pytest.mark.parametrize("small", [2, 24, 1000])
-def test_cloud_of_near_copies(spark, cloud, small, monkeypatch):
+def test_knot_of_near_copies(spark, knot, small, monkeypatch):
     """The same components whichever way buckets are compared."""
     monkeypatch.setattr(minhash, "SMALL_BUCKET", small)
     monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 3000)
-    docs = spark.createDataFrame(list(cloud.items()), "doc_id bigint, text string")
-    check_components(minhash.near_duplicates(docs), cloud)
+    docs = spark.createDataFrame(list(knot.items()), "doc_id bigint, text string")
+    check_components(minhash.near_duplicates(docs), knot)
 
 
 def test_signature_estimates_similarity():
