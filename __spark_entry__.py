@@ -30,8 +30,8 @@ except ModuleNotFoundError as missing:
 
 DIGITS = 6
 
-#: Ratings of before 1999 count as history where a stream follows; it arrives in two parts, the second
-#: from July 2000 on. Users with a rating since July 2001 are the ones looked up by key.
+#: Ratings of before 1999 count as history where a stream follows. A table that grows by batches has a
+#: third one from July 2000 on; users with a rating since July 2001 are the ones looked up by key.
 STREAM_START, STREAM_SECOND, LOOKUP_SINCE = 915148800, 962409600, 993945600
 
 
@@ -383,13 +383,13 @@ def _online_recs_stream(spark, base):
 
 
 def _online_recs_state(spark, base):
-    """Lists kept current from two parts of a stream, with a restart between them, over older history."""
+    """Lists kept current from a stream over older history; the job is started again when all has arrived."""
     ratings = tables.materialize(fixtures.ratings(spark, base), "ratings")
     time, ranked = F.col("timestamp"), _ranked_sims(spark, base)
     source, checkpoint = fresh_path(spark, "messages"), fresh_path(spark, "checkpoint")
+    ratings.filter(time >= STREAM_START).select(fixtures.rating_text("|").alias("value")).write.text(source)
     kept = list_stream.OnlineTables(spark, fresh_path(spark, "online"), buckets=16)
-    for part in ((time >= STREAM_START) & (time < STREAM_SECOND), time >= STREAM_SECOND):
-        ratings.filter(part).select(fixtures.rating_text("|").alias("value")).write.mode("append").text(source)
+    for _ in range(2):
         list_stream.start_lists(
             streams.read_lines(spark, path=source), ratings.filter(time < STREAM_START), ranked, kept, checkpoint,
             available_now=True,
