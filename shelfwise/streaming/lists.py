@@ -50,6 +50,8 @@ class OnlineTables:
 
     def dead_letters(self) -> DataFrame:
         """Bad messages with the reason, and the run and batch they came with."""
+        if batches.next_run(self.spark, self.dead_path) == 1:
+            return self.spark.createDataFrame([], "line string, reason string, run bigint, batch bigint")
         return batches.read_batches(self.spark, self.dead_path, DEAD)
 
 
@@ -71,16 +73,16 @@ def update_tables(
         rows = materialize(
             rows.observe(
                 count,
-                F.count_if(F.col("line").isNull() & F.col("rank").isNull()).alias("ratings"),
-                F.count("line").alias("dead"),
+                F.count_if(F.col("reason").isNull() & F.col("rank").isNull()).alias("ratings"),
+                F.count("reason").alias("dead"),
             ),
             "micro-batch",
         )
         seen |= {name: value or 0 for name, value in count.get.items()}
-        bad = rows.filter("line is not null")
+        bad = rows.filter("reason is not null")
         if seen["dead"]:
             batches.write_batch(bad.select("line", "reason"), tables.dead_path, batch, run)
-        good = rows.filter("line is null")
+        good = rows.filter("reason is null")
         events = recent.batch_events(good)
         tables.ratings.append(events, batch, run)
         if batch > tables.lists.manifest()["applied"].get(str(run), -1):
@@ -107,7 +109,7 @@ def start_lists(
 ) -> StreamingQuery:
     """Keep per-user lists current from a stream of rating messages.
 
-    ``history`` is read once, by the first start over ``tables``: all of it into their ratings and each
+    ``history`` is read by the first start over ``tables`` only: all of it goes into their ratings and each
     user's newest into the state. Bad messages go to the tables' dead letters out of the same micro-batch. A
     job with a new checkpoint over kept tables passes the tables' own ratings as ``history`` and ``run`` from
     ``tables.ratings.next_run()``.

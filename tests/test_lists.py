@@ -7,6 +7,7 @@ import shutil
 import time
 
 import pytest
+from pyspark.sql import functions as F
 from test_online import as_lists, direct, random_case, ranked_table
 
 from shelfwise import schemas, settings
@@ -121,6 +122,19 @@ def test_bad_messages_go_to_dead_letters(spark):
     assert job.run() == expected and job.tables.dead_letters().count() == 6
 
 
+def test_messages_without_a_value_are_dead(spark):
+    rows = rating_stream.sorted_messages(spark.createDataFrame([(None,), ("1|1|2.0|3",)], "value string"))
+    job = Job(spark, {(1, 2): 0.9, (2, 1): 0.9}, [])
+    assert job.tables.dead_letters().count() == 0
+    seen = []
+    output = rows.filter("reason is null").select(*schemas.RATING.names).withColumns({"rank": F.lit(None).cast("int"), "whole": F.lit(True)})
+    ranked = output.withColumn("rank", F.lit(1))
+    batch = output.unionByName(ranked).unionByName(rows.filter("reason is not null").select("line", "reason"), allowMissingColumns=True)
+    list_stream.update_tables(job.tables, job.ranked, report=lambda _, counts: seen.append(counts))(batch, 0)
+    assert [tuple(r)[:2] for r in job.tables.dead_letters().collect()] == [(None, "userId is not a valid int")]
+    assert seen == [{"ratings": 1, "dead": 1, "users": 1, "skipped": 0}] and as_lists(job.tables.lists.snapshot()) == {1: [(2, pytest.approx(1.8))]}
+
+
 def test_job_lost_between_two_writes_goes_on(spark, monkeypatch):
     events, history, sims = random_case(5)
     job = Job(spark, sims, history)
