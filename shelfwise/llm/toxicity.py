@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import id_and_text, slices
+from shelfwise.llm.common import give_back, held, id_and_text, slices
 
 BUCKETS, DIMENSIONS = 1 << 17, 4
 SHORTEST, LONGEST = 3, 5
@@ -176,16 +176,9 @@ def train(texts: list[str], toxic: list[int]) -> Model:
     return Model(vectors, 20 * direction, bias)
 
 
-_scorers: dict[str, "Scorer"] = {}
-
-
 def _scorer(shared) -> "Scorer":
-    """The worker's scorer of a model, kept from task to task; an older model's one is dropped."""
-    key = shared.value.key
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(shared.value)
-    return _scorers[key]
+    """The worker's scorer of a model, kept from task to task."""
+    return held(("toxicity", shared.value.key), lambda: Scorer(shared.value))
 
 
 class Scorer(dict):
@@ -249,6 +242,7 @@ def toxicity(
         for batch in slices(batches, "text", 8 << 20):
             scores = [scorer.score(text) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
+        give_back()
 
     kind = docs.schema[id_column].dataType.simpleString()
     scored = plain.mapInArrow(score, f"doc_id {kind}, score double")
@@ -263,6 +257,8 @@ def without_toxic(
 
     def score(texts: pd.Series) -> pd.Series:
         scorer = _scorer(shared)
-        return pd.Series([scorer.score(t or "") for t in texts], dtype="float64")
+        scores = pd.Series([scorer.score(t or "") for t in texts], dtype="float64")
+        give_back()
+        return scores
 
     return docs.filter(F.pandas_udf(score, "double")(F.col(text)) < threshold)
