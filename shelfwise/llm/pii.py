@@ -1,10 +1,12 @@
 """Personal data in texts, by weak supervision.
 
-Patterns find candidate spans. Labelers vote on each: the pattern's own checks, gazetteers of
+Patterns find candidate spans, and the context labeler proposes further ones: phone numbers as they are
+written inside a country, behind a word that announces one. Labelers vote on each: the pattern's own checks, gazetteers of
 prefixes and domains, context words before it, and its shape. Expectation-maximisation over the
 counts of vote combinations estimates how reliable each labeler is, and its posteriors are
 the soft labels of a span classifier over discrete features. What the fixed rules find stays;
-the classifier adds candidates that fail them. Functions of Spark SQL only.
+the classifier adds phone numbers that they do not cover. Addresses with a part over 255 and cards with a
+wrong check digit are none, whatever stands around them. Functions of Spark SQL only.
 """
 
 from __future__ import annotations
@@ -26,6 +28,14 @@ PATTERNS = {
     "card": "[0-9](?:[\\x20-]?+[0-9])++",
     "phone": "\\+[0-9][\\x20().0-9-]+[0-9]",
 }
+#: Words that announce a phone number (fixed values), and numbers behind one without a country code.
+ANNOUNCING = "phone|telephone|tel|mobile|cell|call|fax|telefon|handy|mobil|móvil|teléfono|llamar|portable|téléphone|appeler"
+NATIONAL = (
+    f"(?<=(?<![\\p{{L}}])(?i:{ANNOUNCING})(?:\\.:?|:)?\\x20{{1,2}})"
+    "\\(?[0-9][0-9()]*+(?:[\\x20./-]{1,2}[0-9()]*[0-9][0-9()]*+)*+(?<=[0-9])"
+)
+#: What proposes candidates: the pattern of each kind, and the context of national numbers.
+SOURCES = [*((kind, PATTERNS[kind]) for kind in KINDS), ("phone", NATIONAL)]
 #: Words before a span that speak for its kind (fixed values).
 CONTEXT = {
     "email": "mail|e-mail|contact|write|address|kontakt|correo|courriel",
@@ -40,6 +50,8 @@ GAZETTEER = {
     "card": "^(4|5[1-5]|2[2-7]|3[4-7]|6[025])",
     "phone": "^\\+(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])",
 }
+#: Beginnings of numbers without a country code: a trunk prefix, or an area code of three digits.
+TRUNK = "^(0[1-9]|[2-9][0-9]{9}$)"
 ABSTAIN = 2
 MARK, END, OTHER = "\x01", "\x02", "\x03"
 LABELERS = 4
@@ -75,15 +87,25 @@ def valid(kind: str, match: Column) -> Column:
     return count.between(16, 19) & luhn(_digits(match))
 
 
-def _guarded(kind: str) -> Column:
-    """A cheap sign without which a kind cannot occur."""
+def possible(kind: str, match: Column) -> Column:
+    """Whether a match that the fixed rules leave out can be of the kind at all."""
+    if kind != "phone":
+        return F.lit(False)
+    return F.length(_digits(match)).between(7, 15)
+
+
+def _guarded(number: int) -> Column:
+    """A cheap sign without which a source has no match."""
     text = F.col("text")
-    sign = {"email": text.contains("@"), "phone": text.contains("+"), "ip": text.rlike("[0-9]\\.[0-9]"), "card": text.rlike("[0-9][\\x20-]?[0-9]")}
-    return sign[kind]
+    signs = [
+        text.contains("@"), text.rlike("[0-9]\\.[0-9]"), text.rlike("[0-9][\\x20-]?[0-9]"), text.contains("+"),
+        text.rlike(f"(?i:{ANNOUNCING})(?:\\.:?|:)?\\x20{{1,2}}[(0-9]"),
+    ]
+    return signs[number]
 
 
-def _votes(kind: str, match: Column, before: Column, after: Column) -> list[Column]:
-    """0, 1 or abstention of each labeler."""
+def _votes(kind: str, match: Column, before: Column, after: Column, proposed: bool) -> list[Column]:
+    """0, 1 or abstention of each labeler. The fixed rules say nothing on what the context has ``proposed``."""
     digits = F.length(_digits(match))
     yes, no = F.lit(1), F.lit(0)
     abstain = F.lit(ABSTAIN)
@@ -95,15 +117,15 @@ def _votes(kind: str, match: Column, before: Column, after: Column) -> list[Colu
     }[kind]
     known = F.regexp_replace(match, "[\\x20().-]", "") if kind in ("card", "phone") else F.lower(match)
     return [
-        F.when(valid(kind, match), yes).otherwise(no),
-        F.when(known.rlike(GAZETTEER[kind]), yes).otherwise(no),
+        abstain if proposed else F.when(valid(kind, match), yes).otherwise(no),
+        F.when(known.rlike(TRUNK if proposed else GAZETTEER[kind]), yes).otherwise(no),
         F.when(before.rlike(f"(?:{CONTEXT[kind]})[^\\n]*$"), yes).otherwise(abstain),
         shape,
     ]
 
 
-def _features(kind: str, match: Column, before: Column, after: Column) -> list[Column]:
-    """Discrete features of the span classifier, each below 32."""
+def _features(kind: str, match: Column, before: Column, after: Column, proposed: bool) -> list[Column]:
+    """Discrete features of the span classifier, each below 32. The fixed rules are not among them."""
     return [
         F.least(F.length(_digits(match)), F.lit(31)),
         F.least(F.length(F.regexp_replace(match, "[A-Za-z0-9]", "")), F.lit(31)),
@@ -111,39 +133,52 @@ def _features(kind: str, match: Column, before: Column, after: Column) -> list[C
         F.when(before.rlike(f"(?:{CONTEXT[kind]})[^\\n]*$"), 1).otherwise(0),
         F.when(before.rlike("[\\p{L}\\p{N}]$"), 2).when(before.rlike("[\\s:\"'(=]$"), 1).otherwise(0)
         * F.lit(4) + F.when(after.rlike("^[\\p{L}\\p{N}]"), 2).when(after.rlike("^[\\s.,;)\"']"), 1).otherwise(0),
-        F.when(valid(kind, match), 1).otherwise(0),
+        F.lit(int(proposed)),
     ]
 
 
 FEATURES = 6
+#: Parts whose lengths are summed up together, for places in linear time.
+BLOCK = 256
+
+
+def _parts(number: int) -> Column:
+    """``text`` with the matches of a source marked, cut at the marks; null where it has none."""
+    marked = F.regexp_replace("text", f"({SOURCES[number][1]})", f"{MARK}$1{END}")
+    return F.when(_guarded(number), F.split(marked, MARK)).alias(f"parts{number}")
+
+
+def _block_starts(lengths: Column) -> Column:
+    """The sum of all lengths before each block of ``BLOCK`` ones."""
+    blocks = F.sequence(F.lit(0), F.floor(F.size(lengths) / BLOCK).cast("int"))
+    sums = F.transform(blocks, lambda b: _sum(F.slice(lengths, b * BLOCK + 1, F.lit(BLOCK))))
+    # Few enough to be summed from the start each time: one per 256 parts.
+    return F.transform(blocks, lambda b: _sum(F.slice(sums, F.lit(1), b)))
 
 
-def _parts(kind: str) -> Column:
-    """``text`` with the matches of a kind marked, cut at the marks; null where it cannot match."""
-    number = KINDS.index(kind)
-    marked = F.regexp_replace("text", f"({PATTERNS[kind]})", f"{MARK}$1{END}")
-    return F.when(_guarded(kind), F.split(marked, MARK)).alias(f"parts{number}")
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0).cast("bigint"), lambda total, n: total + n)
 
 
-def _spans(kind: str) -> Column:
-    """Candidates of a kind; their places are sums of lengths of the parts before them."""
-    number = KINDS.index(kind)
-    parts = F.col(f"parts{number}")
-    lengths = F.col(f"lengths{number}")
+def _spans(number: int) -> Column:
+    """Candidates of a source; their places are sums of lengths of the parts before them."""
+    kind, proposed = SOURCES[number][0], number >= len(KINDS)
+    parts, lengths, starts = (F.col(f"{name}{number}") for name in ("parts", "lengths", "starts"))
 
     def span(i: Column) -> Column:
         part = F.get(parts, i)
         match = F.substring_index(part, END, 1)
-        start = F.aggregate(F.slice(lengths, F.lit(1), i), F.lit(0).cast("bigint"), lambda total, n: total + n)
+        block = F.floor(i / BLOCK).cast("int")
+        start = F.get(starts, block) + _sum(F.slice(lengths, block * BLOCK + 1, i - block * BLOCK))
         last = F.get(parts, i - 1)
         before = F.lower(F.translate(F.right(last, F.lit(40)), END, " "))
         after = F.substring(F.substring_index(part, END, -1), 1, 2)
-        votes = _votes(kind, match, before, after)
+        votes = _votes(kind, match, before, after, proposed)
         pattern = sum((v * 3**k for k, v in enumerate(votes[1:], 1)), votes[0])
         return F.struct(
-            F.lit(number).alias("kind"), start.alias("start"), (start + F.length(match)).alias("end"),
-            valid(kind, match).alias("valid"), pattern.cast("int").alias("votes"),
-            F.array(*[f.cast("int") for f in _features(kind, match, before, after)]).alias("features"),
+            F.lit(KINDS.index(kind)).alias("kind"), start.alias("start"), (start + F.length(match)).alias("end"),
+            (F.lit(False) if proposed else valid(kind, match)).alias("valid"), possible(kind, match).alias("possible"), pattern.cast("int").alias("votes"),
+            F.array(*[f.cast("int") for f in _features(kind, match, before, after, proposed)]).alias("features"),
         )
 
     return F.when(F.size(parts) > 1, F.transform(F.sequence(F.lit(1), F.size(parts) - 1), span))
@@ -152,14 +187,15 @@ def _spans(kind: str) -> Column:
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id and ``found``, an array of all candidates, or null; ``docs`` has doc_id and text."""
     clean = docs.select("doc_id", F.translate("text", MARK + END, OTHER * 2).alias("text"))
-    cut = clean.select("doc_id", *[_parts(kind) for kind in KINDS])
+    numbers = range(len(SOURCES))
+    cut = clean.select("doc_id", *[_parts(n) for n in numbers])
     lengths = [
         F.transform(f"parts{n}", lambda part, i: F.length(part).cast("bigint") - F.when(i > 0, 1).otherwise(0)).alias(f"lengths{n}")
-        for n in range(len(KINDS))
+        for n in numbers
     ]
-    measured = cut.select("*", *lengths)
-    empty = F.array().cast("array<struct<kind:int,start:bigint,end:bigint,valid:boolean,votes:int,features:array<int>>>")
-    return measured.select("doc_id", F.concat(*[F.coalesce(_spans(kind), empty) for kind in KINDS]).alias("found"))
+    measured = cut.select("*", *lengths).select("*", *[_block_starts(F.col(f"lengths{n}")).alias(f"starts{n}") for n in numbers])
+    empty = F.array().cast("array<struct<kind:int,start:bigint,end:bigint,valid:boolean,possible:boolean,votes:int,features:array<int>>>")
+    return measured.select("doc_id", F.concat(*[F.coalesce(_spans(n), empty) for n in numbers]).alias("found"))
 
 
 def reliabilities(counts: dict[int, int]) -> dict[int, float]:
@@ -236,7 +272,7 @@ def find_personal(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
             F.transform(c["features"], lambda v, i: F.get(odds, (c["kind"] * FEATURES + i) * 32 + v)),
             F.get(prior, c["kind"]), lambda total, x: total + x,
         )
-        return c["valid"] | (score > math.log(add_above / (1 - add_above)))
+        return c["valid"] | (c["possible"] & (score > math.log(add_above / (1 - add_above))))
 
     bare = lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
     some = F.size("found") > 0
