@@ -2,7 +2,7 @@
 
 Documents are dealt to shards by hash; the number of shards follows the volume of text, so a
 shard, its inverted index and its packing stay bounded. In a shard every document is scored by
-BM25 over token ids; each window starts with the next unused document and is filled greedily
+BM25 over all of the seed's token ids; each window starts with the next unused document and is filled greedily
 with its best unused neighbours. The last one is cut where the window ends, and what is left
 of it is the next seed, so that only the last window of a shard needs padding.
 """
@@ -20,13 +20,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import character_class, id_and_text
+from shelfwise.llm.common import character_class, give_back, held, id_and_text
 
 #: Characters of text in a shard, on average.
-SHARD_CHARS = 12_000_000
+SHARD_CHARS = 8_000_000
 K1, B = 1.2, 0.75
-#: Distinct tokens of a seed, by weight, that are looked up in the index.
-QUERY_TERMS = 16
+#: Tokens in more than one of so many documents of a shard have their weights in dense rows.
+DENSE = 16
+#: Characters of text whose words are looked up together.
+TOGETHER = 1 << 20
 
 
 class WordIds:
@@ -73,7 +75,7 @@ class WordIds:
         known = {w: old[w] for w in words if w in old}
         young.update(known)
         split = {w: [w] if w.isalpha() else self.piece.findall(w) for w in words if w not in known}
-        for word in [w for w in split if not w.isalnum() and any(unicodedata.category(c) == "Cn" for c in w)]:
+        for word in [w for w in split if not w.isalnum() and not w.isprintable() and any(unicodedata.category(c) == "Cn" for c in w)]:
             # The library may know newer characters.
             del split[word]
             young[word] = np.array(self.whole.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -86,9 +88,9 @@ class WordIds:
                 young[word] = b"".join([ids.get(p) or young.get(p) or old[p] for p in pieces])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.young) > self.MAX_WORDS:
-            self.old, self.young = self.young, {}
         out: list[np.ndarray] = [None] * len(texts)
+        waiting: list[tuple[int, list[str]]] = []
+        size = 0
         for at, text in enumerate(texts):
             if any(odd in text for odd in self._ODD):
                 ids = self.whole.encode(text, add_special_tokens=False).ids
@@ -98,16 +100,22 @@ class WordIds:
                 if not unicodedata.is_normalized("NFC", text):
                     text = unicodedata.normalize("NFC", text)
                 text = text.replace("Σ", "σ")
-            words = text.lower().split()
-            found = list(map(self.young.get, words))
-            if None in found:
-                self._learn({w for w, ids in zip(words, found) if ids is None})
-                found = list(map(self.young.__getitem__, words))
-            out[at] = np.frombuffer(b"".join(found), self.dtype)
+            waiting.append((at, text.lower().split()))
+            size += len(text)
+            if size > TOGETHER:
+                self._encode_words(waiting, out)
+                waiting, size = [], 0
+        self._encode_words(waiting, out)
         return out
 
-
-_encoders: dict[str, WordIds] = {}
+    def _encode_words(self, waiting: list[tuple[int, list[str]]], out: list[np.ndarray]) -> None:
+        if len(self.young) > self.MAX_WORDS:
+            self.old, self.young = self.young, {}
+        unknown = {word for _, words in waiting for word in words}.difference(self.young)
+        if unknown:
+            self._learn(unknown)
+        for at, words in waiting:
+            out[at] = np.frombuffer(b"".join(map(self.young.__getitem__, words)), self.dtype)
 
 
 class Index:
@@ -125,23 +133,32 @@ class Index:
         idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
         norm = (K1 * (1 - B + B * lengths / max(lengths.mean(), 1))).astype(np.float32)
         weight = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
-        self.terms, self.weights = term, weight
+        self.terms = term
         order = np.argsort(term.astype(np.uint32), kind="stable")
         self.posting_docs, self.posting_weights = doc[order], weight[order]
         self.term_start = np.concatenate([[0], np.cumsum(df)])
         self.docs = n
+        # Of frequent tokens, whole rows are added up faster than postings. There are at most DENSE times as many as
+        # a document has distinct tokens on average.
+        frequent = np.flatnonzero(df * DENSE > n)
+        self.row = np.full(vocabulary, -1)
+        self.row[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((len(frequent), n), np.float32)
+        for row, t in enumerate(frequent):
+            span = slice(self.term_start[t], self.term_start[t + 1])
+            self.dense[row, self.posting_docs[span]] = self.posting_weights[span]
 
     def neighbours(self, seed: int) -> np.ndarray:
-        """The score of every document of the shard for the seed's strongest tokens."""
-        a, b = self.first[seed], self.first[seed + 1]
-        terms, weights = self.terms[a:b], self.weights[a:b]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(-weights, QUERY_TERMS)[:QUERY_TERMS]]
-        spans = [slice(self.term_start[t], self.term_start[t + 1]) for t in terms]
-        if not spans:
-            return np.zeros(self.docs)
-        docs = np.concatenate([self.posting_docs[s] for s in spans])
-        return np.bincount(docs, np.concatenate([self.posting_weights[s] for s in spans]), self.docs)
+        """The score of every document of the shard for all tokens of the seed."""
+        terms = self.terms[self.first[seed] : self.first[seed + 1]]
+        rows = self.row[terms]
+        scores = self.dense[rows[rows >= 0]].sum(axis=0, dtype=np.float64)
+        rare = terms[rows < 0]
+        if len(rare):
+            start, sizes = self.term_start[rare], self.term_start[rare + 1] - self.term_start[rare]
+            at = np.arange(sizes.sum()) + np.repeat(start - (np.cumsum(sizes) - sizes), sizes)
+            scores += np.bincount(self.posting_docs[at], self.posting_weights[at], self.docs)
+        return scores
 
 
 def pack_shard(tokens: list[np.ndarray], index: Index, window: int) -> Iterator[tuple[int, int, int, int, int]]:
@@ -197,9 +214,8 @@ def pack(
     dealt = docs.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)))
 
     def pack_group(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        if vocabulary not in _encoders:
-            _encoders[vocabulary] = WordIds(vocabulary)
-        encoder = _encoders[vocabulary]
+        give_back()
+        encoder = held(("packing", vocabulary), lambda: WordIds(vocabulary))
         group = group.sort_values(["doc_id", "text"], ignore_index=True)
         end = np.array([end_id], encoder.dtype)
         bare = encoder.encode(group["text"].tolist())

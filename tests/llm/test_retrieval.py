@@ -1,0 +1,64 @@
+"""BM25 scores of the packing index against the formula, over all tokens of a seed."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+from math import log
+
+import numpy as np
+import pytest
+
+from shelfwise.llm import packing
+from shelfwise.llm.common import vocabulary
+
+
+def bm25(tokens, seed):
+    """Each document's score for the distinct tokens of the seed, straight from the formula."""
+    n, mean = len(tokens), sum(map(len, tokens)) / len(tokens)
+    holders = Counter(t for own in tokens for t in set(own))
+    scores = []
+    for own in tokens:
+        counts, norm = Counter(own), packing.K1 * (1 - packing.B + packing.B * len(own) / mean)
+        scores.append(sum(
+            log(1 + (n - holders[t] + 0.5) / (holders[t] + 0.5)) * counts[t] * (packing.K1 + 1) / (counts[t] + norm)
+            for t in set(tokens[seed]) if counts[t]
+        ))
+    return np.array(scores)
+
+
+@pytest.mark.parametrize("dense", [1, 16, 10**6])
+def test_scores_are_those_of_all_tokens(monkeypatch, dense):
+    monkeypatch.setattr(packing, "DENSE", dense)
+    rng = random.Random(dense)
+    tokens = [[min(int(rng.expovariate(0.02)), 499) for _ in range(rng.randint(0, 120))] for _ in range(80)]
+    index = packing.Index([np.array(t, "<u2") for t in tokens], 500)
+    for seed in range(80):
+        assert index.neighbours(seed) == pytest.approx(bm25(tokens, seed), rel=1e-4, abs=1e-5)
+
+
+def test_ten_nearest_documents(texts):
+    encoder = packing.WordIds(vocabulary("word_bpe_49k.json"))
+    tokens = encoder.encode([t for _, t in sorted(texts.items())])
+    index = packing.Index(tokens, len(encoder.ends))
+    plain = [t.tolist() for t in tokens]
+    found = wanted = 0
+    for seed in range(0, len(plain), 7):
+        scores = bm25(plain, seed)
+        best = set(np.argsort(-scores)[:10].tolist())
+        mine = index.neighbours(seed)
+        wanted += len(best)
+        found += sum(mine[i] >= np.sort(mine)[-10] - 1e-3 for i in best)
+    assert found >= 0.99 * wanted
+
+
+@pytest.mark.parametrize("together", [1, 1 << 20])
+def test_ids_do_not_depend_on_what_is_looked_up_together(monkeypatch, together):
+    monkeypatch.setattr(packing, "TOGETHER", together)
+    monkeypatch.setattr(packing.WordIds, "MAX_WORDS", 20)
+    encoder = packing.WordIds(vocabulary("word_bpe_49k.json"))
+    rng = random.Random(1)
+    parts = ["a", "B", "é", "Σ", " ", "\n", "'s", "12", "!", "İ", "<|", "é", "ß", "\x85", "͸", "wörd"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(400)]
+    expected = [e.ids for e in encoder.whole.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in encoder.encode(texts)] == expected
