@@ -23,7 +23,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import id_and_text, slices
+from shelfwise.llm.common import give_back, id_and_text, slices
 from shelfwise.sources.tables import materialize
 
 KINDS = ("assign", "access", "hex", "random")
@@ -35,7 +35,8 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 MIN_LENGTH = 16
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])")
+#: An equals sign before a token parts it from a name, behind it is padding.
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])")
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Encodings from the narrowest alphabet to the widest; the first that holds a token is inferred.
@@ -49,6 +50,9 @@ ENCODINGS = {
     "base64": _DIGITS + _LOWER + _UPPER + "+/",
     "base64 url": _DIGITS + _LOWER + _UPPER + "-_",
 }
+#: Alphabets of tokens without a digit.
+LETTERS = {"lower": _LOWER, "upper": _UPPER, "letters": _LOWER + _UPPER}
+ENCODINGS |= LETTERS
 _SETS = {name: frozenset(alphabet) for name, alphabet in ENCODINGS.items()}
 _INDEX = {name: {c: i for i, c in enumerate(alphabet)} for name, alphabet in ENCODINGS.items()}
 
@@ -56,6 +60,8 @@ _INDEX = {name: {c: i for i, c in enumerate(alphabet)} for name, alphabet in ENC
 # symbol frequencies, the share of positions where the character class changes, and the
 # serial correlation that classes kept together give.
 WRITTEN_CONCENTRATION, WRITTEN_SWITCHES, WRITTEN_CORRELATION = 0.11, 0.12, 0.55
+#: The sum of squared frequencies of letters in words, whatever the language at least.
+LETTER_CONCENTRATION = 0.06
 #: A token that is this unlikely under uniform randomness is not random.
 RANDOM_LEVEL = 1e-4
 #: p-values are rounded up to a grid of so many steps a decade before they are counted.
@@ -68,12 +74,13 @@ _phi = NormalDist().cdf
 
 
 def encoding_of(token: str) -> str | None:
-    """The narrowest encoding that holds the token. Digits or letters alone give none:
-    numbers and words are not credentials by themselves."""
+    """The narrowest encoding that holds the token. Digits alone give none: numbers are
+    not credentials by themselves. Letters alone have alphabets of their own."""
     symbols = set(token.rstrip("="))
-    if not (symbols & _SETS["hex"] & set(_DIGITS)) or not any(c.isalpha() for c in symbols):
+    if not any(c.isalpha() for c in symbols):
         return None
-    return next((name for name, alphabet in _SETS.items() if symbols <= alphabet), None)
+    digits = bool(symbols & set(_DIGITS))
+    return next((name for name, alphabet in _SETS.items() if (name in LETTERS) != digits and symbols <= alphabet), None)
 
 
 def _class(c: str) -> int:
@@ -90,24 +97,27 @@ def battery(token: str, encoding: str) -> tuple[float, float]:
     chi = sum(c * c for c in Counter(codes).values()) * k / n - n
     random_sd = math.sqrt(2 * (k - 1) * (n - 1) / n)
     p_random = [1 - _phi((chi - (k - 1)) / random_sd)]
-    extra = (n - 1) * max(k * WRITTEN_CONCENTRATION - 1, 0.15)
+    concentration = LETTER_CONCENTRATION if encoding in LETTERS else WRITTEN_CONCENTRATION
+    extra = (n - 1) * max(k * concentration - 1, 0.15)
     p_written = [_phi((chi - (k - 1) - extra) / math.sqrt(random_sd**2 + 4 * extra))]
 
-    # Runs of character classes.
-    classes = [_class(c) for c in body]
-    switches = sum(a != b for a, b in zip(classes, classes[1:]))
+    # Runs of character classes, and serial correlation of neighbouring symbols. Of one class
+    # there are no runs, and what neighbours share in words of one case is not known.
     share = Counter(_class(c) for c in ENCODINGS[encoding])
     expected = 1 - sum((s / k) ** 2 for s in share.values())
-    for p, rate, side in ((p_random, expected, -1), (p_written, WRITTEN_SWITCHES, 1)):
-        z = (switches - (n - 1) * rate) / math.sqrt((n - 1) * rate * (1 - rate))
-        p.append(1 - _phi(side * z))
-
-    # Serial correlation of neighbouring symbols.
-    mean = sum(codes) / n
-    spread = sum((c - mean) ** 2 for c in codes)
-    r = sum((a - mean) * (b - mean) for a, b in zip(codes, codes[1:])) / spread if spread else 1.0
-    p_random.append(1 - _phi((r + 1 / n) * math.sqrt(n)))
-    p_written.append(_phi((r - WRITTEN_CORRELATION) * math.sqrt(n)))
+    if expected:
+        classes = [_class(c) for c in body]
+        switches = sum(a != b for a, b in zip(classes, classes[1:]))
+        for p, rate, side in ((p_random, expected, -1), (p_written, WRITTEN_SWITCHES, 1)):
+            z = (switches - (n - 1) * rate) / math.sqrt((n - 1) * rate * (1 - rate))
+            p.append(1 - _phi(side * z))
+        mean = sum(codes) / n
+        spread = sum((c - mean) ** 2 for c in codes)
+        r = sum((a - mean) * (b - mean) for a, b in zip(codes, codes[1:])) / spread if spread else 1.0
+        p_random.append(1 - _phi((r + 1 / n) * math.sqrt(n)))
+        p_written.append(_phi((r - WRITTEN_CORRELATION) * math.sqrt(n)))
+    else:
+        p_written += [1.0, 1.0]
 
     # Bonferroni for the first reading; Fisher's sum, six degrees of freedom, for the second.
     half = -sum(math.log(max(p, 1e-60)) for p in p_written)
@@ -164,6 +174,7 @@ def _examine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(tested, pa.list_(_CANDIDATE))],
             ["doc_id", "base", "base_sha256", "tested"],
         )
+    give_back()
 
 
 def rejection_steps(counts: list[tuple[int, int, int]], rate: float) -> list[int]:
@@ -245,7 +256,9 @@ def redact(docs: DataFrame, id_column: str = "doc_id", text: str = "text", rate:
     steps = _decided(_examined(docs, id_column, text), rate)
 
     def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else _redact_text(t, steps) for t in texts], dtype=object)
+        redacted = pd.Series([None if t is None else _redact_text(t, steps) for t in texts], dtype=object)
+        give_back()
+        return redacted
 
     return docs.withColumn(text, F.pandas_udf(run, "string")(F.col(text)))
 
