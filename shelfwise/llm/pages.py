@@ -64,6 +64,7 @@ def sequence(page: str) -> list[tuple[str, str, str, bool]]:
     Marked are the insides of <article> and <main>, without unlikely elements in them. The key of words is the innermost container they stand in, with its hint and with a
     mark for links; that of a tag is its name."""
     out, stack = [], [("", "body", False)]
+    opened: Counter = Counter()
     depth = aside = 0
     for m in _TOKEN.finditer(page):
         closing, name, attributes, text = m.group(2), m.group(3), m.group(4), m.group(5)
@@ -74,11 +75,14 @@ def sequence(page: str) -> list[tuple[str, str, str, bool]]:
             continue
         name = name.lower()
         if closing:
-            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
-            if at:
-                depth -= sum(n in ("article", "main") for n, _, _ in stack[at:])
-                aside -= sum(unlikely for _, _, unlikely in stack[at:])
-                del stack[at:]
+            # What is open inside the element ends with it, so every element is looked at twice at most.
+            while opened[name]:
+                inner, _, unlikely = stack.pop()
+                opened[inner] -= 1
+                depth -= inner in ("article", "main")
+                aside -= unlikely
+                if inner == name:
+                    break
         elif name in CONTAINERS and not attributes.endswith("/"):
             key = _key(name, attributes)
             outer = stack[-1][1]
@@ -91,6 +95,7 @@ def sequence(page: str) -> list[tuple[str, str, str, bool]]:
                 key = f"{outer.split(' ')[0]} {key}"
             unlikely = name in UNLIKELY or "." in key.split(" ")[-1]
             stack.append((name, key, unlikely))
+            opened[name] += 1
             depth += name in ("article", "main")
             aside += unlikely
         out.append((f"<{name}" if name in KNOWN else "<other", name, "", depth > 0 and not aside))
