@@ -217,3 +217,19 @@ def test_merge_keeps_the_higher_score(spark):
 
 def test_threshold_is_strict():
     assert settings.SIMILARITY_THRESHOLD == 0.4
+
+
+def test_merged_lists_are_dealt_out_again(spark):
+    """Lists that are cut per user already are not merged and cut once more in the same task."""
+    nan, none = float("nan"), None
+    rows = [(1, 1, 0.5), (1, 2, nan), (1, 3, none), (2, 1, 0.2), (none, 1, 0.1), (2, none, 0.4)]
+    lists = [
+        topn.top_scores(spark.createDataFrame(part, "userId int, recProductId int, score double"), "userId", 5)
+        for part in (rows, [(1, 1, 0.7), (1, 2, 0.1), (1, 3, 0.3), (2, 1, 0.1), (none, 1, 0.3), (2, none, none)])
+    ]
+    merged = topn.merge_lists(*lists, 5)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and "Exchange hashpartitioning(userId" in plan[: plan.index("Union")].rsplit("Window [", 1)[1]
+    found = {(r["userId"], r["recProductId"]): r["score"] for r in merged.collect()}
+    assert math.isnan(found.pop((1, 2)))
+    assert found == {(1, 1): 0.7, (1, 3): 0.3, (2, 1): 0.2, (none, 1): 0.3, (2, none): 0.4}
