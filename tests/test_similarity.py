@@ -233,3 +233,19 @@ def test_merged_lists_are_dealt_out_again(spark):
     found = {(r["userId"], r["recProductId"]): r["score"] for r in merged.collect()}
     assert math.isnan(found.pop((1, 2)))
     assert found == {(1, 1): 0.7, (1, 3): 0.3, (2, 1): 0.2, (none, 1): 0.3, (2, none): 0.4}
+
+
+def test_only_pairs_with_copies_are_stored(spark, monkeypatch):
+    real, stored = factors.materialize, {}
+
+    def store(frame, name):
+        stored[name] = real(frame, name)
+        return stored[name]
+
+    monkeypatch.setattr(factors, "materialize", store)
+    alone = [(i, [1.0, i / 100]) for i in range(30)]
+    found = factors.vector_sims(spark.createDataFrame(alone, "id int, vector array<double>"))
+    assert found.count() == 30 * 29 and "vector-pairs" not in stored
+    copied = spark.createDataFrame([*alone, (30, alone[0][1])], "id int, vector array<double>")
+    assert factors.vector_sims(copied).distinct().count() == 31 * 30
+    assert stored["vector-pairs"].count() == 29
