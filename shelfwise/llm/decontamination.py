@@ -5,6 +5,9 @@ for numbers with their separators, for units behind a number, and for runs of na
 capitalised words inside a sentence, in another all capitalised words. Windows of the canonical
 words are hash-joined view by view. Where a matched window has placeholders, each value of the
 item must stand for one value of the document throughout. Functions of Spark SQL only.
+
+Only documents that can hold a window are read in all views: each window of an item has an anchor, its longest
+run of words that are the same in every view, and a document without any anchor has no equal window.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ from shelfwise.sources.tables import materialize
 WINDOW = 10
 #: An item is found where so many percent of its windows are.
 PERCENT = 40
+#: Words of the longest anchor.
+ANCHOR = 5
 #: Marks inside a prepared text, from the private use area: of a name inside a sentence, of a unit, of
 #: another capitalised word (a name or the start of a sentence), and what joins a run of names or a number.
 NAME, UNIT, MAYBE, JOIN, POINT = "\ue000", "\ue001", "\ue002", "\ue003", "\ue004"
@@ -119,17 +124,78 @@ def _item_windows(items: DataFrame, width: int, view: int) -> DataFrame:
     return met.select("key.item_id", F.col("place").alias("item_place"), "window", before.alias("plain")).distinct()
 
 
-def matches(docs: DataFrame, items: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, item_id, view, width, place, item_place, plain) where canonical windows are equal, and
-    (item_id, view, width, item_windows). ``docs`` and ``items`` have a column ``prepared``.
-
-    Items of fewer words than the window are matched by one window of their length.
-    """
+def measured(items: DataFrame, window: int) -> DataFrame:
+    """(item_id, prepared, view, width) for every view in which an item has a word."""
     lengths = [
         items.select("*", F.lit(view).alias("view"), F.least(F.lit(window), F.size(words(canonical(F.col("prepared"), view)))).alias("width"))
         for view in VIEWS
     ]
-    lengths = materialize(_union(lengths).filter("width > 0"), "items")
+    return materialize(_union(lengths).filter("width > 0"), "items")
+
+
+def _letters(text: Column) -> Column:
+    """One form of the letter whose lower case depends on what stands beside it."""
+    return F.replace(text, F.lit("ς"), F.lit("σ"))
+
+
+def _anchors(lengths: DataFrame) -> DataFrame:
+    """(words, hash, numbers) of every window of the items: the number of words and the hash of its anchor, no words
+    and null where it has no plain word, and the number of its words with digits."""
+    parts = []
+    for view in VIEWS:
+        own = lengths.filter(F.col("view") == view)
+        parts.append(own.select(words(canonical(F.col("prepared"), view)).alias("tokens"), "width"))
+    starts = F.sequence(F.lit(1), F.size("tokens") - F.col("width") + 1)
+    cut = _union(parts).select("tokens", "width", F.explode(starts).alias("at")).select(F.expr("slice(tokens, at, width)").alias("tokens"))
+    cut = cut.distinct()
+    runs = F.flatten(F.transform(
+        F.sequence(F.lit(1), F.lit(ANCHOR)),
+        lambda n: F.transform(F.sequence(F.lit(1), F.size("tokens")), lambda i: F.slice("tokens", i, n)),
+    ))
+    plain = F.filter(runs, lambda run: F.forall(run, lambda w: w.rlike("^\\p{L}+$")))
+    # The longest run, by words and then by letters: windows beside each other mostly share it.
+    best = F.array_max(F.transform(plain, lambda run: F.struct(F.size(run).alias("n"), F.length(F.array_join(run, "")).alias("letters"), run.alias("run"))))
+    numbers = F.size(F.filter("tokens", lambda w: w.contains("0")))
+    found = cut.select(best.alias("best"), numbers.alias("numbers"))
+    hashed = F.xxhash64("best.n", *[_letters(F.get("best.run", F.lit(i))) for i in range(ANCHOR)])
+    return found.select(F.coalesce("best.n", F.lit(0)).alias("words"), F.when(F.col("best").isNotNull(), hashed).alias("hash"), "numbers").distinct()
+
+
+def anchored(docs: DataFrame, lengths: DataFrame) -> DataFrame:
+    """The ids of all documents that can have a window equal to one of an item, in any view; ``docs`` has a column ``text``.
+
+    Words of letters only that follow each other in a view follow each other in the text, too. Windows without one
+    are of numbers, units and names: they need a document with as many numbers, or with a capitalised word or a number.
+    """
+    known = materialize(_anchors(lengths), "anchors")
+    # At most one row for each length of an anchor.
+    sizes = {row["words"]: row["numbers"] for row in known.groupBy("words").agg(F.min("numbers").alias("numbers")).collect()}
+    fewest = sizes.pop(0, None)
+    parts = []
+    if sizes:
+        hashes = known.filter("hash is not null").select("hash").distinct()
+        hashes = broadcast_if_small(hashes, hashes.count(), 16)
+        most = max(sizes)
+        cut = docs.select("doc_id", F.split(_letters(F.lower("text")), "\\P{L}+").alias("w"))
+        beside = F.arrays_zip(*[F.slice("w", F.lit(i + 1), F.size("w")) for i in range(most)])
+        cut = cut.select("doc_id", beside.alias("beside"))
+        # Outer forms: see _windows.
+        cut = cut.select("doc_id", F.inline_outer("beside")).toDF("doc_id", *[f"w{i}" for i in range(most)])
+        own = F.array(*[F.xxhash64(F.lit(n), *[f"w{i}" for i in range(n)]) for n in sorted(sizes)])
+        parts.append(cut.select("doc_id", F.explode_outer(own).alias("hash")).join(hashes, "hash", "left_semi").select("doc_id"))
+    if fewest == 0:
+        parts.append(docs.filter(F.col("text").rlike("\\p{Lu}\\p{Ll}|\\p{N}")).select("doc_id"))
+    elif fewest is not None:
+        parts.append(docs.filter(F.size(F.split("text", "\\p{N}+")) > fewest).select("doc_id"))
+    return _union(parts).distinct() if parts else docs.filter("false").select("doc_id")
+
+
+def matches(docs: DataFrame, lengths: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, item_id, view, width, place, item_place, plain) where canonical windows are equal, and
+    (item_id, view, width, item_windows). ``docs`` has a column ``prepared``, ``lengths`` is of ``measured``.
+
+    Items of fewer words than the window are matched by one window of their length.
+    """
     widths: dict[int, list[int]] = {}  # at most ``window`` numbers, each with at most four views
     for width, view in sorted(lengths.select("width", "view").distinct().collect()):
         widths.setdefault(width, []).append(view)
@@ -197,13 +263,17 @@ def contaminated(
     not looked at. Documents or items that repeat an id count once, by what all their rows hold. An empty table gives no row;
     further columns are not read.
     """
-    whole = id_and_text(docs, id_column, text).filter("doc_id is not null and text <> ''")
-    whole = whole.select("doc_id", prepared(F.col("text")).alias("prepared"))
-    whole = materialize(whole, "prepared")
     items = id_and_text(benchmark, item_column, text).filter("doc_id is not null")
     items = items.select(F.col("doc_id").alias("item_id"), prepared(F.col("text")).alias("prepared"))
     items = materialize(items.distinct(), "benchmark")
-    found, sizes = matches(whole, items, window)
+    lengths = measured(items, window)
+    whole = id_and_text(docs, id_column, text).filter("doc_id is not null and text <> ''")
+    # All rows of an id stay together: values of its slots are compared over all of them.
+    near = materialize(anchored(whole, lengths), "anchored")
+    whole = whole.join(broadcast_if_small(near, near.count(), 32), "doc_id", "left_semi")
+    whole = whole.select("doc_id", prepared(F.col("text")).alias("prepared"))
+    whole = materialize(whole, "prepared")
+    found, sizes = matches(whole, lengths)
     templated = items.select("item_id", F.col("prepared").rlike(f"[{NAME}{MAYBE}{UNIT}]|\\p{{N}}").alias("slots"))
     templated = templated.groupBy("item_id").agg(F.max("slots").alias("slots"))
     found = materialize(found.join(templated, "item_id"), "matches")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwise.llm import decontamination
 
@@ -43,3 +44,33 @@ def test_marks_are_no_values(spark, doc):
 def test_exact_windows_outlive_a_clash(spark):
     """20 of the 31 words lie between both slots; one of two equal numbers is changed."""
     assert found(spark, MANY, MANY.replace("12", "13", 1))
+
+
+DOCS = [TOM, TOM.replace("Tom", "Anna").replace("3", "4"), SHOP.upper(), "12 and 7, 8 or 9", "Ann met Joe Lee", "ΑΣ'Ab ΟΔΟΣ ο", "no item of any kind", "5 apples"]
+
+
+@pytest.mark.parametrize("items", [[TOM, SHOP], ["1 2 3 4"], ["Mary Ann"], ["ας'ab οδος ο", CITY], ["12 kg"], []])
+def test_anchors_lose_no_window(spark, items):
+    docs = spark.createDataFrame(list(enumerate([*DOCS, MANY])), "doc_id bigint, text string")
+    items = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    own = items.select("item_id", decontamination.prepared(F.col("text")).alias("prepared"))
+    lengths = decontamination.measured(own, decontamination.WINDOW)
+    prepared = docs.select("doc_id", decontamination.prepared(F.col("text")).alias("prepared"))
+    equal = {r["doc_id"] for r in decontamination.matches(prepared, lengths)[0].select("doc_id").distinct().collect()}
+    kept = {r["doc_id"] for r in decontamination.anchored(docs, lengths).collect()}
+    assert equal <= kept and 6 not in kept
+
+
+def test_views_are_cut_for_documents_with_an_anchor_only(spark, monkeypatch):
+    stored, plain = {}, decontamination.materialize
+
+    def keep(df, name):
+        stored[name] = plain(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(decontamination, "materialize", keep)
+    assert found(spark, TOM, TOM)
+    docs = spark.createDataFrame([*enumerate(DOCS), (0, "a second text"), (None, TOM)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, SHOP)], "item_id bigint, text string")
+    assert [r["doc_id"] for r in decontamination.contaminated(docs, items).collect()] == [2]
+    assert {r["doc_id"] for r in stored["prepared"].collect()} == {2}
