@@ -9,14 +9,18 @@ of it is the next seed, so that only the last window of a shard needs padding.
 
 from __future__ import annotations
 
+import codecs
 import json
 import re
+import string
 import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,15 +30,19 @@ from shelfwise.llm.common import character_class, give_back, held, id_and_text
 SHARD_CHARS = 8_000_000
 K1, B = 1.2, 0.75
 #: Tokens in more than one of so many documents of a shard have their weights in dense rows.
-DENSE = 16
+DENSE = 4
+#: Used documents leave the index when the others are less than this share of it.
+NARROW = 0.8
 #: Characters of text whose words are looked up together.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 23
+#: Pieces that the library gets at a time.
+PIECES = 10_000
 
 
 class WordIds:
-    """Token ids of texts, word by word; the ids of words are kept in two generations."""
+    """Token ids of texts, each distinct word once; the ids of pieces of words are kept in two generations."""
 
-    MAX_WORDS = 250_000
+    MAX_WORDS = 400_000
     #: Texts with these go to the library whole: special strings, white space that only one
     #: of both sides knows, and the capital with a two-character lower case.
     _ODD = ("<|", "\x1c", "\x1d", "\x1e", "\x1f", "İ")
@@ -53,43 +61,70 @@ class WordIds:
         self.words_only.pre_tokenizer = tokenizers.pre_tokenizers.WhitespaceSplit()
         letter, number = character_class("L"), character_class("N")
         self.piece = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^\\s{letter}{number}]+")
+        self.plain = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\\sa-z0-9]+")  # the same for ASCII
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in printable]
-        self.byte_map = {b: chr(256 + i) for i, b in enumerate(hidden)}
+        letters = {b: chr(256 + i) for i, b in enumerate(hidden)}
+        # The letter for each byte. No piece holds a blank, which parts them.
+        self.bytes = "".join(" " if b == 32 else letters.get(b, chr(b)) for b in range(256))
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        mapped = [p if p.isascii() and p.isprintable() else p.encode("utf-8", "replace").decode("latin-1").translate(self.byte_map) for p in pieces]
         out = []
-        for at in range(0, len(mapped), 1000):
-            part = mapped[at : at + 1000]
-            ids = np.array(self.words_only.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids)
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            raw, width = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
-            out += [raw[a * width : b * width] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
+        for at in range(0, len(pieces), PIECES):
+            part = " ".join(pieces[at : at + PIECES]).encode("utf-8", "replace")
+            mapped = codecs.charmap_decode(part, "strict", self.bytes)[0]
+            ids = np.array(self.words_only.encode_batch_fast([mapped], add_special_tokens=False)[0].ids)
+            width = self.dtype.itemsize
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * width).tolist()
+            raw = ids.astype(self.dtype).tobytes()
+            out += [raw[a:b] for a, b in zip([0, *cuts], cuts)]
         return out
 
-    def _learn(self, words: set[str]) -> None:
+    def _split(self, word: str) -> str | None:
+        """The pieces of a word with blanks between, none where the library may know newer characters."""
+        if word[-1] in string.punctuation and word[:-1].isalpha():
+            return f"{word[:-1]} {word[-1]}"
+        if not word.isalnum() and not word.isprintable() and any(unicodedata.category(c) == "Cn" for c in word):
+            return None
+        return " ".join((self.plain if word.isascii() else self.piece).findall(word))
+
+    def _learn(self, pieces: set[str]) -> None:
         young, old = self.young, self.old
-        known = {w: old[w] for w in words if w in old}
-        young.update(known)
-        split = {w: [w] if w.isalpha() else self.piece.findall(w) for w in words if w not in known}
-        for word in [w for w in split if not w.isalnum() and not w.isprintable() and any(unicodedata.category(c) == "Cn" for c in w)]:
-            # The library may know newer characters.
-            del split[word]
-            young[word] = np.array(self.whole.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
-        needed = {p for pieces in split.values() for p in pieces}
-        new = [p for p in needed if p not in young and p not in old]
-        ids = dict(zip(new, self._encode_pieces(new)))
-        young.update(ids)
-        for word, pieces in split.items():
-            if word not in ids:
-                young[word] = b"".join([ids.get(p) or young.get(p) or old[p] for p in pieces])
+        young.update({p: old[p] for p in pieces if p in old})
+        new = [p for p in pieces if p not in young]
+        young.update(zip(new, self._encode_pieces(new)))
+
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words, as bytes."""
+        if len(self.young) > self.MAX_WORDS:
+            self.old, self.young = self.young, {}
+        young = self.young
+        out = list(map(young.get, words))
+        new = [at for at, ids in enumerate(out) if ids is None]
+        needed = {words[at] for at in new if words[at].isalpha()}
+        parted: list[str] = []  # strings, not lists: the collector of garbage does not look at them
+        places = []
+        for at in new:
+            word = words[at]
+            if word in needed:
+                continue
+            pieces = self._split(word) if word else ""
+            if pieces:
+                places.append(at)
+                parted.append(pieces)
+            else:
+                out[at] = np.array(self.whole.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
+        needed.update(" ".join(parted).split(" ") if parted else ())
+        self._learn(needed.difference(young))
+        for at, pieces in zip(places, parted):
+            out[at] = b"".join([young[p] for p in pieces.split(" ")])
+        return [young[word] if ids is None else ids for word, ids in zip(words, out)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = [None] * len(texts)
-        waiting: list[tuple[int, list[str]]] = []
+        waiting: list[tuple[int, str]] = []
         size = 0
         for at, text in enumerate(texts):
             if any(odd in text for odd in self._ODD):
@@ -100,7 +135,7 @@ class WordIds:
                 if not unicodedata.is_normalized("NFC", text):
                     text = unicodedata.normalize("NFC", text)
                 text = text.replace("Σ", "σ")
-            waiting.append((at, text.lower().split()))
+            waiting.append((at, text.lower()))
             size += len(text)
             if size > TOGETHER:
                 self._encode_words(waiting, out)
@@ -108,14 +143,24 @@ class WordIds:
         self._encode_words(waiting, out)
         return out
 
-    def _encode_words(self, waiting: list[tuple[int, list[str]]], out: list[np.ndarray]) -> None:
-        if len(self.young) > self.MAX_WORDS:
-            self.old, self.young = self.young, {}
-        unknown = {word for _, words in waiting for word in words}.difference(self.young)
-        if unknown:
-            self._learn(unknown)
-        for at, words in waiting:
-            out[at] = np.frombuffer(b"".join(map(self.young.__getitem__, words)), self.dtype)
+    def _encode_words(self, waiting: list[tuple[int, str]], out: list[np.ndarray]) -> None:
+        if not waiting:
+            return
+        cut = pc.utf8_split_whitespace(pa.array([text for _, text in waiting], pa.large_string()))
+        coded = cut.values.dictionary_encode()
+        places = coded.indices.to_numpy()
+        found = self._word_ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = np.frombuffer(b"".join(found), self.dtype)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        starts = np.cumsum(sizes) - sizes
+        lengths = sizes[places]
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        taken = np.repeat(starts[places] - upto[:-1], lengths)
+        taken += np.arange(len(taken))
+        ids = ids[taken]
+        bounds = upto[cut.offsets.to_numpy()].tolist()
+        for (at, _), a, b in zip(waiting, bounds, bounds[1:]):
+            out[at] = ids[a:b]
 
 
 class Index:
@@ -138,6 +183,7 @@ class Index:
         self.posting_docs, self.posting_weights = doc[order], weight[order]
         self.term_start = np.concatenate([[0], np.cumsum(df)])
         self.docs = n
+        self.live = np.arange(n)
         # Of frequent tokens, whole rows are added up faster than postings. There are at most DENSE times as many as
         # a document has distinct tokens on average.
         frequent = np.flatnonzero(df * DENSE > n)
@@ -147,12 +193,27 @@ class Index:
         for row, t in enumerate(frequent):
             span = slice(self.term_start[t], self.term_start[t + 1])
             self.dense[row, self.posting_docs[span]] = self.posting_weights[span]
+        # A place for the rows of a seed, as fresh memory costs more than the sums.
+        self.rows = np.empty_like(self.dense)
+
+    def narrow(self, unused: np.ndarray) -> None:
+        """Keep only unused documents as neighbours; scores of these stay what they are."""
+        keep = unused[self.live]
+        held_by = keep[self.posting_docs]
+        self.posting_docs = (np.cumsum(keep) - 1)[self.posting_docs[held_by]]
+        self.posting_weights = self.posting_weights[held_by]
+        self.term_start = np.concatenate([[0], np.cumsum(held_by)])[self.term_start]
+        self.dense = self.dense.compress(keep, axis=1)
+        self.rows = np.empty_like(self.dense)
+        self.live = self.live[keep]
+        self.docs = len(self.live)
 
     def neighbours(self, seed: int) -> np.ndarray:
-        """The score of every document of the shard for all tokens of the seed."""
+        """The score of every document in ``live``, at first all of the shard, for all tokens of the seed."""
         terms = self.terms[self.first[seed] : self.first[seed + 1]]
         rows = self.row[terms]
-        scores = self.dense[rows[rows >= 0]].sum(axis=0, dtype=np.float64)
+        dense = rows[rows >= 0]
+        scores = self.dense.take(dense, axis=0, out=self.rows[: len(dense)], mode="clip").sum(axis=0, dtype=np.float64)
         rare = terms[rows < 0]
         if len(rare):
             start, sizes = self.term_start[rare], self.term_start[rare + 1] - self.term_start[rare]
@@ -165,7 +226,7 @@ def pack_shard(tokens: list[np.ndarray], index: Index, window: int) -> Iterator[
     """(document, start, length, sequence, offset) of pieces that cover every token once."""
     lengths = [len(t) for t in tokens]
     unused = np.ones(len(tokens), bool)
-    sequence, room, upcoming = 0, window, 0
+    sequence, room, upcoming, left = 0, window, 0, len(tokens)
     rest: tuple[int, int] | None = None  # a cut document, and where it goes on
     while True:
         if rest is None:
@@ -174,7 +235,7 @@ def pack_shard(tokens: list[np.ndarray], index: Index, window: int) -> Iterator[
             if upcoming == len(tokens):
                 return
             rest = (upcoming, 0)
-            unused[upcoming] = False
+            unused[upcoming], left = False, left - 1
         seed, start = rest
         rest, scores = None, None
         while lengths[seed] - start >= room:
@@ -184,12 +245,15 @@ def pack_shard(tokens: list[np.ndarray], index: Index, window: int) -> Iterator[
             continue
         yield seed, start, lengths[seed] - start, sequence, window - room
         room -= lengths[seed] - start
-        scores = np.where(unused, index.neighbours(seed), 0)
+        if 0 < left < NARROW * len(index.live):
+            index.narrow(unused)
+        scores = np.where(unused[index.live], index.neighbours(seed), 0)
         while True:
-            best = int(scores.argmax())
-            if scores[best] <= 0:
+            at = int(scores.argmax())
+            if scores[at] <= 0:
                 break
-            scores[best], unused[best] = 0, False
+            best = int(index.live[at])
+            scores[at], unused[best], left = 0, False, left - 1
             if lengths[best] >= room:
                 rest = (best, 0)
                 break

@@ -62,3 +62,34 @@ def test_ids_do_not_depend_on_what_is_looked_up_together(monkeypatch, together):
     texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(400)]
     expected = [e.ids for e in encoder.whole.encode_batch(texts, add_special_tokens=False)]
     assert [ids.tolist() for ids in encoder.encode(texts)] == expected
+
+
+def test_pieces_are_kept_once_whatever_stands_beside_them():
+    encoder = packing.WordIds(vocabulary("word_bpe_49k.json"))
+    texts = ["abc, abc. (abc) Abc;\n ", "", "  ", "abc", "don't x2y É. é"]
+    expected = [e.ids for e in encoder.whole.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in encoder.encode(texts)] == expected
+    assert set(encoder.young) == {"abc", ",", ".", "(", ")", ";", "don", "'t", "x", "2", "y", "é"}
+
+
+def test_white_space_is_that_of_the_library():
+    encoder = packing.WordIds(vocabulary("word_bpe_49k.json"))
+    texts = [f" a{chr(c)}b{chr(c)}{chr(c)}" for c in range(0x3100) if chr(c).isspace() or c < 33]
+    expected = [e.ids for e in encoder.whole.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in encoder.encode(texts)] == expected
+
+
+def test_used_documents_leave_the_index(monkeypatch):
+    rng = random.Random(3)
+    tokens = [np.array([min(int(rng.expovariate(0.02)), 499) for _ in range(rng.randint(0, 120))], "<u2") for _ in range(300)]
+    tokens += tokens[:40]
+    packed = []
+    for share in (0, packing.NARROW, 1):
+        monkeypatch.setattr(packing, "NARROW", share)
+        index = packing.Index(tokens, 500)
+        packed.append(list(packing.pack_shard(tokens, index, 512)))
+        assert (len(index.live) < 50) == (share > 0)
+    assert packed[0] == packed[1] == packed[2]
+    whole, index, unused = packing.Index(tokens, 500), packing.Index(tokens, 500), np.arange(340) % 3 > 0
+    index.narrow(unused)
+    assert all((index.neighbours(seed) == whole.neighbours(seed)[unused]).all() for seed in range(340))
