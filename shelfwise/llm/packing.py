@@ -35,12 +35,15 @@ DENSE = 4
 NARROW = 0.8
 #: Characters of text whose words are looked up together.
 TOGETHER = 1 << 23
+#: Characters of text that are cut into words at a time, and distinct words that are looked up at a time.
+BLOCK, WORDS = 1 << 19, 1 << 15
 #: Pieces that the library gets at a time.
 PIECES = 10_000
 
 
 class WordIds:
-    """Token ids of texts, each distinct word once; the ids of pieces of words are kept in two generations."""
+    """Token ids of texts, each distinct word once. The ids of pieces of words are kept in two generations: those of
+    the texts at hand, and those of the texts before."""
 
     MAX_WORDS = 400_000
     #: Texts with these go to the library whole: special strings, white space that only one
@@ -123,44 +126,76 @@ class WordIds:
         return [young[word] if ids is None else ids for word, ids in zip(words, out)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if 2 * len(self.young) > len(self.old):  # after few texts, those before them stay
+            self.old, self.young = self.young, {}
         out: list[np.ndarray] = [None] * len(texts)
-        waiting: list[tuple[int, str]] = []
+        waiting: list[int] = []
         size = 0
         for at, text in enumerate(texts):
             if any(odd in text for odd in self._ODD):
                 ids = self.whole.encode(text, add_special_tokens=False).ids
                 out[at] = np.array(ids, self.dtype)
                 continue
-            if not text.isascii():
-                if not unicodedata.is_normalized("NFC", text):
-                    text = unicodedata.normalize("NFC", text)
-                text = text.replace("Σ", "σ")
-            waiting.append((at, text.lower()))
+            waiting.append(at)
             size += len(text)
             if size > TOGETHER:
-                self._encode_words(waiting, out)
+                self._encode_words(texts, waiting, out)
                 waiting, size = [], 0
-        self._encode_words(waiting, out)
+        self._encode_words(texts, waiting, out)
         return out
 
-    def _encode_words(self, waiting: list[tuple[int, str]], out: list[np.ndarray]) -> None:
+    @staticmethod
+    def _lower(text: str) -> str:
+        if not text.isascii():
+            if not unicodedata.is_normalized("NFC", text):
+                text = unicodedata.normalize("NFC", text)
+            text = text.replace("Σ", "σ")
+        return text.lower()
+
+    def _encode_words(self, texts: list[str], waiting: list[int], out: list[np.ndarray]) -> None:
+        """Texts are cut and put together again block by block. Of all blocks at a time there are only the numbers
+        of words, and the distinct words with their ids."""
         if not waiting:
             return
-        cut = pc.utf8_split_whitespace(pa.array([text for _, text in waiting], pa.large_string()))
-        coded = cut.values.dictionary_encode()
-        places = coded.indices.to_numpy()
-        found = self._word_ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        blocks, numbers = [], []
+        for block in self._blocks(texts, waiting):
+            cut = pc.utf8_split_whitespace(pa.array([self._lower(texts[at]) for at in block], pa.large_string()))
+            blocks.append((block, cut.offsets.to_numpy().copy()))
+            numbers.append(cut.values.dictionary_encode())
+            del cut
+        numbers = pa.chunked_array(numbers).unify_dictionaries().chunks
+        words = numbers[0].dictionary
+        found, sizes = [], []
+        for at in range(0, len(words), WORDS):
+            part = self._word_ids(words.slice(at, WORDS).to_numpy(zero_copy_only=False).tolist())
+            found.append(b"".join(part))
+            sizes.append(np.fromiter(map(len, part), np.int64, len(part)) // self.dtype.itemsize)
+            del part
         ids = np.frombuffer(b"".join(found), self.dtype)
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        sizes = np.concatenate([np.zeros(0, np.int64), *sizes])
         starts = np.cumsum(sizes) - sizes
-        lengths = sizes[places]
-        upto = np.concatenate([[0], np.cumsum(lengths)])
-        taken = np.repeat(starts[places] - upto[:-1], lengths)
-        taken += np.arange(len(taken))
-        ids = ids[taken]
-        bounds = upto[cut.offsets.to_numpy()].tolist()
-        for (at, _), a, b in zip(waiting, bounds, bounds[1:]):
-            out[at] = ids[a:b]
+        for (block, offsets), number in zip(blocks, numbers):
+            places = number.indices.to_numpy()
+            lengths = sizes[places]
+            upto = np.concatenate([[0], np.cumsum(lengths)])
+            taken = np.repeat(starts[places] - upto[:-1], lengths)
+            taken += np.arange(len(taken))
+            joined = ids[taken]
+            bounds = upto[offsets].tolist()
+            for at, a, b in zip(block, bounds, bounds[1:]):
+                out[at] = joined[a:b]
+
+    @staticmethod
+    def _blocks(texts: list[str], waiting: list[int]) -> Iterator[list[int]]:
+        """Numbers of texts with about BLOCK characters together; a longer text stands alone."""
+        block, size = [], 0
+        for at in waiting:
+            if block and size + len(texts[at]) > BLOCK:
+                yield block
+                block, size = [], 0
+            block.append(at)
+            size += len(texts[at])
+        yield block
 
 
 class Index:
@@ -278,8 +313,8 @@ def pack(
     dealt = docs.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)))
 
     def pack_group(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        give_back()
         encoder = held(("packing", vocabulary), lambda: WordIds(vocabulary))
+        give_back()
         group = group.sort_values(["doc_id", "text"], ignore_index=True)
         end = np.array([end_id], encoder.dtype)
         bare = encoder.encode(group["text"].tolist())
@@ -287,15 +322,15 @@ def pack(
         tokens = [np.concatenate([t, end]) for t in bare]
         rows = list(pack_shard(tokens, index, window))
         doc, start, length, sequence, offset = (np.array(c, np.int64) for c in zip(*rows))
-        pieces = [tokens[d][s : s + n].astype("<u4") for d, s, n, _, _ in rows]
+        pieces = [tokens[d][s : s + n] for d, s, n, _, _ in rows]
         out = pd.DataFrame({
             "doc_id": group["doc_id"].to_numpy()[doc], "start": start, "length": length,
-            "ids_crc32": np.array([zlib.crc32(p.tobytes()) for p in pieces], np.int64),
+            "ids_crc32": np.array([zlib.crc32(p.astype("<u4").tobytes()) for p in pieces], np.int64),
             "doc_tokens": np.array([len(t) for t in tokens], np.int64)[doc],
             "sequence_id": int(key[0]) * (1 << 32) + sequence, "offset": offset,
         })
         if with_ids:
-            out["ids"] = pieces
+            out["ids"] = [p.astype("<u4") for p in pieces]
         return out
 
     schema = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 from math import log
 
@@ -64,6 +65,46 @@ def test_ids_do_not_depend_on_what_is_looked_up_together(monkeypatch, together):
     assert [ids.tolist() for ids in encoder.encode(texts)] == expected
 
 
+@pytest.mark.parametrize(("block", "words"), [(1, 1), (30, 3), (1 << 19, 1 << 15)])
+def test_ids_do_not_depend_on_blocks(monkeypatch, block, words):
+    monkeypatch.setattr(packing, "BLOCK", block, raising=False)
+    monkeypatch.setattr(packing, "WORDS", words, raising=False)
+    encoder = packing.WordIds(vocabulary("word_bpe_49k.json"))
+    rng = random.Random(2)
+    parts = ["a", "B", "é", "Σ", " ", "\n", "'s", "12", "!", "İ", "<|", "ß", "x" * 40]
+    texts = ["", " ", *("".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(200)), ""]
+    expected = [e.ids for e in encoder.whole.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in encoder.encode(texts)] == expected
+    assert [ids.tolist() for ids in encoder.encode(["", "\n"])] == [[], []] and encoder.encode([]) == []
+
+
+def test_encoding_holds_little_beside_the_ids():
+    encoder = packing.WordIds(vocabulary("word_bpe_49k.json"))
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["some", "Words", "come", "Again", "and", "again,"], k=2000)) for _ in range(300)]
+    encoder.encode(texts[:1])
+    tracemalloc.start()
+    try:
+        ids = encoder.encode(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(map(len, ids)) >= 600_000
+    assert peak < 20 * 600_000  # bytes a word; 2 are the ids, 4 a word's number
+
+
+def test_words_of_the_texts_before_are_kept_and_no_others():
+    encoder = packing.WordIds(vocabulary("word_bpe_49k.json"))
+    letters = "abcdefghijklmnopqrst"
+    for shard in "uvwxyz":
+        encoder.encode(["both " + " ".join(shard + a + b for a in letters for b in letters)])
+        assert len(encoder.young) == 401
+    assert len(encoder.old) == 401 and all(word == "both" or word[0] == "y" for word in encoder.old)
+    encoder.encode(["a few"])
+    encoder.encode(["words"])
+    assert len(encoder.old) == 401  # few words do not drive out many
+
+
 def test_pieces_are_kept_once_whatever_stands_beside_them():
     encoder = packing.WordIds(vocabulary("word_bpe_49k.json"))
     texts = ["abc, abc. (abc) Abc;\n ", "", "  ", "abc", "don't x2y É. é"]
