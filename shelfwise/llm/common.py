@@ -58,10 +58,11 @@ def held(key: object, build: Callable[[], object]) -> object:
     return _held[key]
 
 
-def give_back() -> None:
+def give_back(collect: bool = True) -> None:
     """Return freed memory to the system, at the end of a task. Workers are kept for later stages, and the
-    allocators would keep what this one needed at its peak."""
-    gc.collect()
+    allocators would keep what this one needed at its peak. Without ``collect`` cycles of garbage stay for now."""
+    if collect:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:

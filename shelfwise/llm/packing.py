@@ -103,7 +103,8 @@ class WordIds:
         """The ids of distinct words, as bytes."""
         if len(self.young) > self.MAX_WORDS:
             self.old, self.young = self.young, {}
-        young = self.young
+        young, old = self.young, self.old
+        young.update({word: old[word] for word in words if word in old})
         out = list(map(young.get, words))
         new = [at for at, ids in enumerate(out) if ids is None]
         needed = {words[at] for at in new if words[at].isalpha()}
@@ -164,6 +165,7 @@ class WordIds:
             numbers.append(cut.values.dictionary_encode())
             del cut
         numbers = pa.chunked_array(numbers).unify_dictionaries().chunks
+        pa.default_memory_pool().release_unused()
         words = numbers[0].dictionary
         found, sizes = [], []
         for at in range(0, len(words), WORDS):
@@ -180,7 +182,7 @@ class WordIds:
             upto = np.concatenate([[0], np.cumsum(lengths)])
             taken = np.repeat(starts[places] - upto[:-1], lengths)
             taken += np.arange(len(taken))
-            joined = ids[taken]
+            joined = ids.take(taken)
             bounds = upto[offsets].tolist()
             for at, a, b in zip(block, bounds, bounds[1:]):
                 out[at] = joined[a:b]
@@ -312,9 +314,13 @@ def pack(
     shards = -(-chars // SHARD_CHARS)
     dealt = docs.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)))
 
+    def new_encoder() -> WordIds:
+        give_back()  # what another operator kept in this worker
+        return WordIds(vocabulary)
+
     def pack_group(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        encoder = held(("packing", vocabulary), lambda: WordIds(vocabulary))
-        give_back()
+        encoder = held(("packing", vocabulary), new_encoder)
+        give_back(collect=False)
         group = group.sort_values(["doc_id", "text"], ignore_index=True)
         end = np.array([end_id], encoder.dtype)
         bare = encoder.encode(group["text"].tolist())
