@@ -39,10 +39,9 @@ class RecentRatings(StatefulProcessor):
         self.recent = handle.getValueState("recent", STATE, **lasting)
 
     def handleInitialState(self, key, initial_state, timer_values) -> None:
-        # One user's rows come one by one or together, as the version has it.
+        # One row a user holds all: each call on the state is a message to the server beside the worker.
         rows = [initial_state] if isinstance(initial_state, Row) else initial_state
-        held, _ = self._held()
-        self._store([*held, *((r.productId, r.score, r.timestamp) for r in rows)], True)
+        self._store([rating for row in rows for rating in zip(row.products, row.scores, row.timestamps)], True)
 
     def handleInputRows(self, key, rows: Iterator[Row], timer_values) -> Iterator[Row]:
         held, whole = self._held()
@@ -78,9 +77,12 @@ def with_recent(events: DataFrame, seed: DataFrame | None, k: int, expiry_ms: in
     ``seed`` are ratings of before the stream, at most ``k`` newest of each user; they are
     read by the first micro-batch only. Needs the RocksDB state store.
     """
+    if seed is not None:
+        packed = seed.groupBy("userId").agg(F.collect_list(F.struct(*RATING[1:])).alias("held"))
+        names = zip(RATING[1:], ("products", "scores", "timestamps"))
+        seed = packed.select("userId", *(F.col(f"held.{field}").alias(name) for field, name in names)).groupBy("userId")
     return events.groupBy("userId").transformWithState(
-        RecentRatings(k, expiry_ms), OUTPUT, "append", "processingTime" if expiry_ms else "none",
-        initialState=seed.groupBy("userId") if seed is not None else None,
+        RecentRatings(k, expiry_ms), OUTPUT, "append", "processingTime" if expiry_ms else "none", initialState=seed
     )
 
 

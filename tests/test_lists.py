@@ -7,6 +7,7 @@ import shutil
 import time
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from test_online import as_lists, direct, random_case, ranked_table
 
@@ -17,7 +18,7 @@ from shelfwise.sources import batches, streams
 from shelfwise.sources.keyed import KeyedTable
 from shelfwise.streaming import lists as list_stream
 from shelfwise.streaming import ratings as rating_stream
-from shelfwise.streaming.recent import newest
+from shelfwise.streaming.recent import RecentRatings, newest
 
 
 class Job:
@@ -207,3 +208,19 @@ def test_newest_order_is_that_of_the_table_form(spark):
     frame = online.recent_ratings(spark.createDataFrame(rows, schemas.RATING), 9).orderBy("rank")
     assert [(r.productId, r.score, r.timestamp) for r in frame.collect()] == newest([r[1:] for r in rows], 9)
     assert settings.RECENT_COUNT == 21 and KeyedTable is type(list_stream.OnlineTables(spark, "/tmp/none").lists)
+
+
+def test_a_user_of_the_seed_takes_one_call_on_the_state():
+    calls = []
+
+    class State:
+        def get(self):
+            calls.append("get")
+
+        def update(self, value):
+            calls.append(value)
+
+    processor = RecentRatings(2)
+    processor.recent = State()
+    processor.handleInitialState((7,), Row(userId=7, products=[1, 2, 3], scores=[4.0, 5.0, 1.0], timestamps=[10, 30, 20]), None)
+    assert calls == [([2, 3], [5.0, 1.0], [30, 20], True)]
